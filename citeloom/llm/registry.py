@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from citeloom.llm import substring_dedup
+from citeloom.llm import simhash, substring_dedup
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
+    "op2_simhash_near_dedup": simhash.op2_simhash_near_dedup,
 }
 
 ORACLES: dict[str, str] = {}
