@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from citeloom.llm import simhash, substring_dedup
+from citeloom.llm import packing, simhash, substring_dedup, token_files
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_simhash_near_dedup": simhash.op2_simhash_near_dedup,
+    "op3_packing": packing.op3_packing,
+    "op9_token_files": token_files.op9_token_files,
 }
 
 ORACLES: dict[str, str] = {}
