@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from citeloom.llm import packing, simhash, substring_dedup, token_files
+from citeloom.llm import packing, simhash, substring_dedup, token_files, toxicity
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_simhash_near_dedup": simhash.op2_simhash_near_dedup,
     "op3_packing": packing.op3_packing,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op9_token_files": token_files.op9_token_files,
 }
 
