@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from citeloom.llm import packing, simhash, substring_dedup, token_files, toxicity
+from citeloom.llm import decontaminate, packing, simhash, substring_dedup, token_files, topk, toxicity
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_simhash_near_dedup": simhash.op2_simhash_near_dedup,
     "op3_packing": packing.op3_packing,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op8_benchmark_decontamination": decontaminate.op8_benchmark_decontamination,
     "op9_token_files": token_files.op9_token_files,
+    "op10_exact_top_k": topk.op10_exact_top_k,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_exact_top_k": topk.OP10_SQL,
+}
