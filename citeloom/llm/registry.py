@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from citeloom.llm import decontaminate, langid, packing, simhash, substring_dedup, token_files, topk, toxicity
+from citeloom.llm import decontaminate, langid, packing, quality, simhash, substring_dedup, token_files, topk, toxicity
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_packing": packing.op3_packing,
     "op4_language_id": langid.op4_language_id,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op7_quality": quality.op7_quality,
     "op8_benchmark_decontamination": decontaminate.op8_benchmark_decontamination,
     "op9_token_files": token_files.op9_token_files,
     "op10_exact_top_k": topk.op10_exact_top_k,
