@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from citeloom.llm import decontaminate, langid, packing, quality, simhash, substring_dedup, token_files, topk, toxicity
+from citeloom.llm import decontaminate, langid, packing, privacy, quality, simhash, substring_dedup, token_files, topk, toxicity
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_simhash_near_dedup": simhash.op2_simhash_near_dedup,
     "op3_packing": packing.op3_packing,
     "op4_language_id": langid.op4_language_id,
+    "op5_pii_surrogates": privacy.op5_pii_surrogates,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_quality": quality.op7_quality,
     "op8_benchmark_decontamination": decontaminate.op8_benchmark_decontamination,
