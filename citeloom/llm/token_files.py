@@ -58,7 +58,8 @@ def read_token_files(spark, path: str) -> DataFrame:
     rows = spark.read.schema(SCHEMA).orc(path)
     sums = rows.groupBy("part").agg(F.sum("n_tokens").alias("_n"))  # a row per file
     before = sums.select("part", (F.sum("_n").over(Window.orderBy("part")) - F.col("_n")).alias("_before"))
-    return rows.join(before, "part").select("doc_id", (F.col("start_in_part") + F.col("_before")).alias("start"), "n_tokens", "ids")
+    # a row per file, as many as the writer had partitions: broadcasting keeps the id lists where they are
+    return rows.join(F.broadcast(before), "part").select("doc_id", (F.col("start_in_part") + F.col("_before")).alias("start"), "n_tokens", "ids")
 
 
 def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

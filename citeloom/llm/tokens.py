@@ -1,17 +1,19 @@
 """Byte-level BPE encoding in executors with a bounded cache of pieces.
 
 The pre-tokeniser always starts a new piece at a space that stands before a non-space, so a text cut there and encoded
-piece by piece gives the ids of the whole text. Most pieces recur, and a worker keeps the ids of those it has met.
+piece by piece gives the ids of the whole text. Most pieces recur, and a worker keeps the ids of those it has met. A new
+piece is split by the tokenizer's own pattern and goes straight to the tokenizer's model.
 """
 
 from __future__ import annotations
 
 import os
 import re
-
-import numpy as np
+from array import array
 
 END_ID = 0
+#: How byte-level BPE writes a leading space.
+SPACE_LETTER = chr(256 + 0x20)
 _CUT = re.compile(r" (?=\S)")
 #: A space before other white space or at the end; such texts are cut by the slower pattern.
 _ODD = re.compile(r" (?:\s|\Z)")
@@ -23,31 +25,52 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters byte-level BPE writes bytes as: printable Latin-1 stands for itself, the others follow from 256 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    odd = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(odd)}
+
+
 class PieceEncoder(dict):
-    """Maps a piece (its leading space left out) to its ids as little-endian unsigned 32-bit integers."""
+    """Maps a piece (its leading space left out) to its ids as unsigned 32-bit integers in the machine's order (little-endian)."""
 
     made: dict[tuple[str, int], PieceEncoder] = {}
 
     def __init__(self, path: str, most: int):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import public_tokenizers
+        import regex
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer, self.most = Tokenizer.from_file(path), most
-        self.tokenizer.encode_special_tokens = True
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
+        self.pattern = regex.compile(public_tokenizers.PATTERN)
+        self.ends = {c: self.direct(c) for c in ".,;:!?"}  # after a word, a pre-token of its own
 
     @classmethod
-    def get_one(cls, path: str, most: int = 300_000) -> PieceEncoder:
+    def get_one(cls, path: str, most: int = 1_000_000) -> PieceEncoder:
         """One per worker process, kept between tasks."""
         if (path, most) not in cls.made:
             cls.made[path, most] = cls(path, most)
         return cls.made[path, most]
 
+    def word(self, word: str) -> bytes:
+        """Ids of one pre-token, its bytes written as letters."""
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+
     def direct(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        """Ids by the tokenizer's pattern; special tokens' names are ordinary text."""
+        return b"".join([self.word(part.encode().decode("latin-1").translate(self.letters)) for part in self.pattern.findall(text)])
 
     def __missing__(self, piece: str) -> bytes:
-        found = self.direct(" " + piece)
+        if piece.isalpha():
+            found = self.word(SPACE_LETTER + (piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)))
+        elif piece[-1] in self.ends and piece[:-1].isalpha():
+            return self[piece[:-1]] + self.ends[piece[-1]]
+        else:
+            found = self.direct(" " + piece)
         if len(piece) <= 64:
             if len(self) >= self.most:
                 self.clear()
