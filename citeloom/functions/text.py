@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from html.parser import HTMLParser
@@ -61,14 +62,31 @@ def strip_markup(c: str | Column, missing: list[str] | None = None) -> Column:
     return F.when(~x.isin(missing), x) if missing else x
 
 
+@F.pandas_udf(T.StringType())
+def _reverted(x: pd.Series) -> pd.Series:
+    def one(text: str) -> str | None:
+        try:
+            placed = sorted((p, w) for w, ps in json.loads(text).items() for p in ps)
+        except (ValueError, TypeError, AttributeError):
+            return None
+        return plain_text(" ".join(dict(placed).values()))
+
+    return x.map(one, na_action="ignore")
+
+
 def revert_inverted_index(c: str | Column, missing: list[str] | None = None) -> Column:
-    """Text of a JSON object word -> positions. Two words at one place: the greater stays; gaps are skipped; bad JSON: null."""
+    """Text of a JSON object word -> positions. Two words at one place: the greater stays; gaps are skipped; bad JSON: null.
+
+    Only indexes that hold markup leave the JVM.
+    """
     words = F.from_json(col(c), "map<string,array<int>>")
     placed = F.flatten(F.transform(F.map_entries(words), lambda e: F.transform(F.array_distinct(e["value"]), lambda p: F.struct(p.alias("p"), e["key"].alias("w")))))
     order = F.array_sort(placed)
     # of equal positions the last in order has the greatest word
     last = F.filter(order, lambda x, i: F.get(order, i + 1).isNull() | (F.get(order, i + 1)["p"] != x["p"]))
-    return strip_markup(F.array_join(F.transform(last, lambda x: x["w"]), " "), missing)
+    plain = F.array_join(F.transform(last, lambda x: x["w"]), " ")
+    x = stripped(F.when(col(c).contains("<"), _reverted(col(c))).otherwise(plain))
+    return F.when(~x.isin(missing), x) if missing else x
 
 
 NAME = T.StructType([T.StructField(n, T.StringType()) for n in ("first_initial", "given_name", "middle_initials", "middle_names", "surname", "full")])
