@@ -23,19 +23,24 @@ _HER, _HIS = "Mrs Ms Miss Frau Señora Sra Madame Mme".split(), "Mr Herr Señor
 _TITLE = "|".join([*_HER, *_HIS, "Dr", "Prof"])
 _NAME = r"\p{Lu}[\p{Ll}'’-]+"
 
+_OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+
+#: Each branch starts with a cheap look at the first character; what looks further back or ahead comes after it.
 #: Order matters: the first that fits at a place is taken.
-PATTERNS = [
-    r"(?<![\w.%+-])[\w.%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+)+",
-    r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,128}+(?![0-9A-Za-z])",
-    r"(?<=(?i:token|secret|password|apikey|api_key)\s{0,2}[=:]\s{0,2}[\x22']?)[A-Za-z0-9+/_=-]{12,128}",
-    r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}[A-Z0-9]{11,30}+(?![0-9A-Za-z])",
-    r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)",
-    r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    r"(?<![\w+])\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,5}(?!\w)|(?<![\w.(])\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?!\w)",
-    r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])",
-    rf"\b(?:{_TITLE})\.? {_NAME}(?: {_NAME})?|\b(?:{'|'.join([*WOMEN, *MEN])}) {_NAME}",
-]
-ANY = "|".join(f"(?:{p})" for p in PATTERNS)
+_AT = r"(?<![\w.%+-])[\w.%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+)+"
+_HEX = r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,128}+(?![0-9A-Za-z])"
+_SECRET = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_=-]{12})(?<=(?i:token|secret|password|apikey|api_key)\s{0,2}[=:]\s{0,2}[\x22']?)[A-Za-z0-9+/_=-]{12,128}"
+_IBAN = r"(?=[A-Z]{2}\d)(?<![0-9A-Za-z])[A-Z]{2}\d{2}[A-Z0-9]{11,30}+(?![0-9A-Za-z])"
+_NUMBERS = (
+    rf"(?=[0-9+(])(?:(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?![\w]|\.\d)"
+    r"|(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
+    r"|(?<![\w+])\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,5}(?!\w)|(?<![\w.(])\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?!\w)"
+    r"|(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-]))"
+)
+_PERSON = rf"(?=\p{{Lu}})\b(?:(?:{_TITLE})\.? {_NAME}(?: {_NAME})?|(?:{'|'.join([*WOMEN, *MEN])}) {_NAME})"
+#: What a text without digits and @ can hold, and what any text can.
+WORDY = "|".join([_SECRET, _PERSON])
+ANY = "|".join([_AT, _HEX, _SECRET, _IBAN, _NUMBERS, _PERSON])
 _VOWELS, _CONSONANTS = "aeiou", "bdfglmnprstv"
 
 
@@ -44,13 +49,31 @@ def _let(x: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(x), lambda v: body(v)), 1)
 
 
+def _luhn(digits: Column) -> Column:
+    """Luhn sum of a string of digits."""
+    n = F.length(digits)
+
+    def value(i: Column) -> Column:
+        x = F.substring(digits, i, F.lit(1)).cast("int") * (F.pmod(n - i, F.lit(2)) + 1)
+        return F.when(x > 9, x - 9).otherwise(x)
+
+    return F.aggregate(F.transform(F.sequence(F.lit(1), n), value), F.lit(0), lambda a, b: a + b)
+
+
+def _is_card(e: Column) -> Column:
+    """An issuer's first digits and a sound Luhn sum; other long numbers are no personal data."""
+    digits = F.regexp_replace(e, r"\D", "")
+    return digits.rlike("^(?:[3-6]|2[2-7])") & (F.pmod(_let(digits, _luhn), F.lit(10)) == 0)
+
+
 def _kind(e: Column) -> Column:
+    """The kind of an entity; ``number`` is left as it is."""
     return (
         F.when(e.contains("@"), "email")
         .when(e.rlike(r"^\d{1,3}(?:\.\d{1,3}){3}$"), "ip")
         .when(e.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
         .when(e.rlike(r"^(?:\+|\(|\d{3}\)?[ .-]\d{3}[ .-]\d{4}$)"), "phone")
-        .when(e.rlike(r"^\d(?:[ -]?\d){12,18}$"), "card")
+        .when(e.rlike(r"^\d(?:[ -]?\d){12,18}$"), F.when(_is_card(e), "card").otherwise("number"))
         .when(e.rlike(r"^[A-Z]{2}\d{2}[A-Z0-9]{11,30}$"), "iban")
         .when(e.rlike(r"^\S{12,}$") & ~e.rlike(rf"^(?:{_TITLE})\.? "), "secret")
         .otherwise("person")
@@ -116,23 +139,11 @@ def _digits(e: Column, d: Column, fixed: Column) -> Column:
     return _chars(e, change)
 
 
-def _luhn(digits: Column) -> Column:
-    """Luhn sum of a string of digits."""
-    n = F.length(digits)
-
-    def value(i: Column) -> Column:
-        x = F.substring(digits, i, F.lit(1)).cast("int") * (F.pmod(n - i, F.lit(2)) + 1)
-        return F.when(x > 9, x - 9).otherwise(x)
-
-    return F.aggregate(F.transform(F.sequence(F.lit(1), n), value), F.lit(0), lambda a, b: a + b)
-
-
 def _card(e: Column, d: Column) -> Column:
     def close(drawn: Column) -> Column:
         body = F.substring(F.regexp_replace(drawn, r"\D", ""), F.lit(1), F.length(F.regexp_replace(e, r"\D", "")) - 1)
         last = F.pmod(10 - F.pmod(_let(F.concat(body, F.lit("0")), _luhn), F.lit(10)), F.lit(10)).cast("string")
-        sound = F.pmod(_let(F.regexp_replace(e, r"\D", ""), _luhn), F.lit(10)) == 0
-        return F.when(sound, F.concat(F.substring(drawn, F.lit(1), F.length(drawn) - 1), last)).otherwise(drawn)
+        return F.concat(F.substring(drawn, F.lit(1), F.length(drawn) - 1), last)
 
     return _let(_digits(e, d, F.lit(1)), close)
 
@@ -186,6 +197,7 @@ def _new(e: Column, kind: Column, d: Column, person: Column) -> Column:
         .when(kind == "card", _card(e, d))
         .when(kind == "iban", F.concat(F.substring(e, 1, 2), _let(F.substring(e, F.lit(3), F.length(e)), lambda rest: _alike(rest, d))))
         .when(kind == "secret", _secret(e, d))
+        .when(kind == "number", e)
         .otherwise(person)
     )
 
@@ -204,11 +216,17 @@ def _surrogates(key: str, found: Column, attempt: Callable[[Column, Column], Col
     return F.transform(keyed, lambda s: _new(s["e"], s["kind"], s["d"], person(s["e"])))
 
 
+def _found(text: str = "text") -> Column:
+    """The entities of a text in order. Most texts have neither digits nor @, and are searched for words alone."""
+    rich = F.col(text).rlike("[0-9@]")
+    return F.when(rich, F.regexp_extract_all(text, F.lit(ANY), 0)).otherwise(F.regexp_extract_all(text, F.lit(WORDY), 0))
+
+
 def _mentions(docs: DataFrame) -> DataFrame:
     """Distinct (kind, form, example) of the entities in the texts; a person's words count singly."""
     e = F.col("e")
-    found = docs.select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(ANY), 0))).alias("e")).distinct()
-    found = found.withColumn("kind", _kind(e))
+    found = docs.select(F.explode(F.array_distinct(_found())).alias("e")).distinct()
+    found = found.withColumn("kind", _kind(e)).where("kind <> 'number'")
     one = F.array(F.struct(e.alias("word"), F.col("kind")))
     parts = found.select(F.explode(F.when(F.col("kind") == "person", F.filter(_tokens(e), lambda t: t["kind"] != "title")).otherwise(one)).alias("t"))
     kind = F.col("t.kind")
@@ -244,7 +262,7 @@ def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     Null, empty and entity-free texts stay as they are; equal texts change alike. Without ``key`` the surrogates cannot
     be told from the entities by computing them anew.
     """
-    found = F.coalesce(F.regexp_extract_all("text", F.lit(ANY), 0), F.array().cast("array<string>"))
+    found = F.coalesce(_found(), F.array().cast("array<string>"))
     again = attempts(docs, key).where("attempt > 0")
     rows = docs.withColumn("_found", found)
     if again.isEmpty():
@@ -261,10 +279,10 @@ def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
         rows = rows.join(maps, "_text", "left").drop("_text")
     taken = lambda kind, form: F.coalesce(F.try_element_at(F.col("_attempts"), F.concat(kind, F.lit(":"), form)), F.lit(0))
     rows = rows.withColumn("_new", F.when(F.size("_found") > 0, _surrogates(key, F.col("_found"), taken)))
-    between = F.split("text", ANY, -1)
+    between = F.when(F.col("text").rlike("[0-9@]"), F.split("text", ANY, -1)).otherwise(F.split("text", WORDY, -1))
     joined = F.array_join(F.transform(between, lambda p, i: F.concat(p, F.coalesce(F.get("_new", i), F.lit("")))), "")
     text = F.when(F.size("_found") > 0, joined).otherwise(F.col("text"))
-    return rows.withColumn("text", text).select(*docs.columns, F.size("_found").alias("_entities"))
+    return rows.withColumn("text", text).select(*docs.columns, F.size(F.filter("_found", lambda e: _kind(e) != "number")).alias("_entities"))
 
 
 #: Of the queries here; a deployment passes a secret of its own.

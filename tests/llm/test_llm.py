@@ -214,7 +214,7 @@ def test_decontamination(spark):
 
 def test_privacy(spark):
     text = "Mr. John Smith met Mrs Anna Keller; Herr Keller, John Smith. +1 (017) 555-7713 or +1 017 555 7713, 4111 1111 1111 1111, 4111111111111111. 10.0.0.7 x.y1@mail.example.com X.Y1@MAIL.EXAMPLE.COM Иван Петров token = \"0123456789abcdef0123456789abcdef\""
-    rows = [(1, text), (2, text), (3, None), (4, ""), (5, "nothing here 1990-2020, v1.2"), (6, "mail b@c.de")]
+    rows = [(1, text), (2, text), (3, None), (4, ""), (5, "nothing here 1990-2020, v1.2, 9807915762804490, 999.1.1.1, 1234567812345678"), (6, "mail b@c.de")]
     got = {r["doc_id"]: r for r in privacy.pseudonymise(docs(spark, *rows), "key").collect()}
     assert got[1]["text"] == got[2]["text"] and [got[i]["text"] for i in (3, 4, 5)] == [None, "", rows[4][1]] and got[5]["_entities"] == 0
     new = got[1]["text"]
