@@ -133,6 +133,7 @@ def fit(sample: list[tuple[str, str]], hidden: int = 12, words: int = 12_000, ep
         size = np.fromiter(map(len, items), np.int64, len(items))
         y, weight = np.array(y), np.array(weight) * len(items)
         opt = Adam(p, 0.01)
+        epochs = max(epochs, -(-400 // -(-len(items) // 512)))  # a small vocabulary needs more rounds
         for epoch in range(epochs):
             opt.rate = 0.01 * (1 - epoch / epochs) + 0.001
             noise = np.argsort(size + rng.random(len(items)) * 4)  # words of like length share a batch
