@@ -114,3 +114,9 @@ def metrics(run: DataFrame, accepted: DataFrame, ks: list[int]) -> DataFrame:
     per = rows.select("dmp_doi", F.inline(each))
     mean = per.groupBy("k").agg(*[F.avg(m).alias(m) for m in ("map", "ndcg", "precision", "recall")]).select(F.lit("all").alias("dmp_doi"), "k", "map", "ndcg", "precision", "recall")
     return per.unionByName(mean)
+
+
+def true_positives(run: DataFrame, accepted: DataFrame, k: int = 100) -> DataFrame:
+    """dmp_doi, doi, rank, share of the plan's best score: the accepted works among each plan's first k."""
+    top = signals.ranked(run, k).join(accepted.select("dmp_doi", "doi").distinct(), ["dmp_doi", "doi"], "left_semi")
+    return top.select("dmp_doi", "doi", "rank", (F.col("score") / F.col("score_max")).alias("share"))

@@ -89,7 +89,7 @@ def must_signals(dmps: DataFrame, works: DataFrame, w: Weights) -> DataFrame:
 def _loose_phrase(text: Column, name: Column, slop: int = 3) -> Column:
     """Whether the name's words stand in the text in order, at most ``slop`` other words between two of them."""
     pattern = F.concat(F.lit(r"(?:^| )"), F.array_join(name, rf"(?: \S+){{0,{slop}}} "), F.lit(r"(?: |$)"))
-    return (F.size(name) > 0) & F.array_join(text, " ").rlike(pattern)
+    return (F.size(name) > 0) & F.rlike(F.array_join(text, " "), pattern)
 
 
 def _items(mine: Column, theirs: Column, mode: str) -> Column:
@@ -203,5 +203,5 @@ def highlighted(text: str | Column, terms: Column) -> Column:
 def by_plan(matches: DataFrame) -> DataFrame:
     """One row per plan: its matches in rank order."""
     rest = [c for c in matches.columns if c not in ("dmp_doi", "rank")]
-    packed = matches.groupBy("dmp_doi").agg(F.array_sort(F.collect_list(F.struct("rank", F.struct(*rest).alias("work")))).alias("_w"))
+    packed = matches.groupBy("dmp_doi").agg(F.array_sort(F.collect_list(F.struct("rank", F.struct(*rest).alias("work"))), lambda a, b: a["rank"] - b["rank"]).alias("_w"))
     return packed.select("dmp_doi", F.transform("_w", lambda x: x["work"]).alias("works"))

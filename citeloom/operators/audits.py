@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from citeloom.operators.keys import first_n
+
 
 @dataclass(frozen=True)
 class Check:
@@ -52,3 +54,15 @@ def enforce(df: DataFrame, checks: list[Check]) -> None:
     bad = {(c.name, c.column): failed[c.name, c.column] for c in checks if c.blocking and (c.name, c.column) in failed}
     if bad:
         raise ValueError(f"audits failed: {bad}")
+
+
+def error_summary(errors: DataFrame, kind: str, sample: str, most: int = 5) -> DataFrame:
+    """Per kind of error its number and the first ``most`` distinct samples; samples are limited before they are gathered."""
+    total = errors.groupBy(kind).agg(F.count(F.lit(1)).alias("errors"))
+    some = first_n(errors.where(F.col(sample).isNotNull()).select(kind, sample).distinct(), [kind], [F.asc(sample)], most)
+    return total.join(some.groupBy(kind).agg(F.array_sort(F.collect_list(sample)).alias("samples")), kind, "left")
+
+
+def step_statistics(steps: DataFrame, seconds: str, *by: str) -> DataFrame:
+    """Number, mean and sample deviation of step times."""
+    return steps.groupBy(*by).agg(F.count(seconds).alias("steps"), F.avg(seconds).alias("mean"), F.stddev_samp(seconds).alias("stdev"))

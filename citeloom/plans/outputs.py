@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.functions.awards import awards_in, identifier, variants
+from citeloom.functions.identifiers import ascii_words
+from citeloom.functions.text import similarity
 from citeloom.operators.changes import inserted
 from citeloom.operators.keys import first_n
 
@@ -90,16 +92,18 @@ def without_orphans(versions: DataFrame, related: DataFrame) -> DataFrame:
     return versions.join(related.select(F.col("work_doi").alias("doi")).distinct(), "doi", "left_semi")
 
 
-def title_matches(references: DataFrame, works: DataFrame, least: float = 95.0) -> DataFrame:
-    """reference id, doi of the work whose folded title is most similar, of those that share a rare-enough word with it.
+def title_matches(references: DataFrame, works: DataFrame, least: float = 95.0, keys: int = 3) -> DataFrame:
+    """id, doi, similarity: the work whose folded title is most similar to a reference's, at least by ``least``.
 
-    references: id, title. works: doi, title. Similarity is taken only for pairs with the same longest word.
+    references: id, title. works: doi, title. Similarity is taken for pairs that share one of their ``keys`` longest words.
     """
-    from citeloom.functions.identifiers import ascii_words
-    from citeloom.functions.text import similarity
+    by_length = lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).when(a < b, -1).when(a > b, 1).otherwise(0)
 
-    longest = lambda t: F.element_at(F.array_sort(F.split(t, " "), lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).when(a < b, -1).when(a > b, 1).otherwise(0)), 1)
-    keyed = lambda df, name: df.withColumn(name, ascii_words("title")).withColumn("_k", longest(F.col(name)))
-    both = keyed(references, "_a").select("id", "_a", "_k").join(keyed(works, "_b").select("doi", "_b", "_k"), "_k")
+    def keyed(df: DataFrame, key: str, name: str) -> DataFrame:
+        folded = df.select(key, ascii_words("title").alias(name)).where(F.col(name) != "")
+        longest = F.slice(F.array_sort(F.array_distinct(F.split(name, " ")), by_length), 1, keys)
+        return folded.select(key, name, F.explode(longest).alias("_k"))
+
+    both = keyed(references, "id", "_a").join(keyed(works, "doi", "_b"), "_k").drop("_k").distinct()
     scored = both.withColumn("similarity", similarity("_a", "_b")).where(F.col("similarity") >= least)
     return first_n(scored, ["id"], [F.desc("similarity"), F.asc("doi")]).select("id", "doi", "similarity")

@@ -423,3 +423,38 @@ def match_content(spark, d):
     words = works_.select("doi", signals.tokens("abstract_text").alias("words"))
     hit = words.select("doi", F.explode(F.array_distinct("words")).alias("_k")).join(rare, "_k").drop("_k").join(words, "doi")
     return signals.ranked(hit.select("dmp_doi", "doi", signals.bm25(F.col("terms"), F.col("words"), F.col("length")).alias("score")), 10)
+
+
+@query("SELECT p_type, count(*) AS n FROM part GROUP BY p_type")
+def type_counts(spark, d):
+    return table(spark, d, "part", "p_type").groupBy("p_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""WITH e AS (SELECT event_type, CAST(user_id AS VARCHAR) AS u FROM events), s AS (SELECT DISTINCT event_type, u FROM e QUALIFY dense_rank() OVER (PARTITION BY event_type ORDER BY u) <= 3)
+SELECT event_type, (SELECT count(*) FROM e WHERE e.event_type = s.event_type) AS errors, string_agg(u, ',' ORDER BY u) AS samples FROM s GROUP BY event_type""")
+def error_summary(spark, d):
+    events = table(spark, d, "events", "event_type", "user_id").withColumn("u", F.col("user_id").cast("string"))
+    return audits.error_summary(events, "event_type", "u", 3).withColumn("samples", joined("samples"))
+
+
+@query("""SELECT event_type, count(value) AS steps, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS stdev FROM events GROUP BY event_type""")
+def step_statistics(spark, d):
+    out = audits.step_statistics(table(spark, d, "events", "event_type", "value"), "value", "event_type")
+    return out.select("event_type", "steps", F.round("mean", 6).alias("mean"), F.round("stdev", 6).alias("stdev"))
+
+
+@query(f"""WITH r AS ({_RUN}), t AS (SELECT *, row_number() OVER (PARTITION BY dmp_doi ORDER BY score DESC, doi) AS rank FROM r),
+m AS (SELECT *, max(score) OVER (PARTITION BY dmp_doi) AS best FROM t WHERE rank <= 20)
+SELECT m.dmp_doi, m.doi, m.rank, round(m.score / m.best, 9) AS share FROM m WHERE EXISTS (SELECT 1 FROM ({_QRELS}) q WHERE q.dmp_doi = m.dmp_doi AND q.doi = m.doi)""")
+def true_positives(spark, d):
+    return ranking.true_positives(*_run(spark, d), 20).withColumn("share", F.round("share", 9))
+
+
+@query("""SELECT o_orderkey AS id, CAST(strftime(o_orderdate, '%Y-%m-%d') AS VARCHAR) AS day, strftime(o_orderdate, '%Y-%m-%dT%H:%MZ') AS minute,
+CAST(o_orderdate + INTERVAL 3 YEAR AS DATE)::VARCHAR AS until, (o_orderstatus = 'F' OR o_totalprice > 100000) AS stale FROM orders""")
+def dates_and_flags(spark, d):
+    o = table(spark, d, "orders")
+    return o.select(
+        F.col("o_orderkey").alias("id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm'Z'").alias("minute"),
+        F.add_months(F.col("o_orderdate").cast("date"), 36).cast("string").alias("until"), ((F.col("o_orderstatus") == "F") | (F.col("o_totalprice") > 100000)).alias("stale"),
+    )

@@ -56,3 +56,11 @@ def write_csv(df: DataFrame, path: str) -> None:
 def sorted_json(*columns: str):
     """A JSON object with its keys in order, as the result tables store it."""
     return F.to_json(F.struct(*sorted(columns)))
+
+
+def jdbc_query(spark: SparkSession, url: str, query: str, column: str | None = None, bounds: tuple[int, int] = (0, 1), parts: int = 1, **options: str) -> DataFrame:
+    """Rows of a database query; with ``column`` in ``parts`` ranges between ``bounds``, read in parallel."""
+    reader = spark.read.format("jdbc").option("url", url).option("fetchsize", 10_000).options(**options)
+    if not column:
+        return reader.option("query", query).load()
+    return reader.option("dbtable", f"({query}) q").option("partitionColumn", column).option("lowerBound", bounds[0]).option("upperBound", bounds[1]).option("numPartitions", parts).load()
