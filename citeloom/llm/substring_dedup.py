@@ -68,8 +68,8 @@ def _send_edges(k: int, mini: int) -> Callable:
             new = np.ones(len(keep), bool)
             new[1:] = (w[keep][1:] != w[keep][:-1]) | (doc[keep][1:] != doc[keep][:-1])
             keep = np.sort(keep[new])
-            ids = b.column(b.schema.get_field_index("k")).to_numpy(zero_copy_only=False)
-            pos = (at - first[:-1][doc]).astype(np.int32)
+            ids, tag = (b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("k", "tag"))
+            pos = (at - first[:-1][doc]) + (tag[doc] << 32)
             yield pa.RecordBatch.from_arrays([pa.array(w[keep].view(np.int64)), pa.array(ids[doc[keep]]), pa.array(pos[keep])], ["h", "k", "p"])
 
     return run
@@ -81,12 +81,12 @@ def _digest(data: np.ndarray, start: np.ndarray, end: np.ndarray, a: int, b: int
 
 
 def _compact(k: int) -> Callable:
-    names = ["k", "start", "n", "k0", "p0", "digest"]
+    names = ["k", "tag", "start", "n", "k0", "p0", "digest"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches):
             data, start, end, first, _, w, at, doc = _windows(b, k)
-            ids = b.column(b.schema.get_field_index("k")).to_pylist()
+            ids, tags = (b.column(b.schema.get_field_index(c)).to_pylist() for c in ("k", "tag"))
             lists = b.column(b.schema.get_field_index("edges"))
             bound = np.searchsorted(doc, np.arange(b.num_rows + 1))
             out = []
@@ -107,9 +107,9 @@ def _compact(k: int) -> Callable:
                 cut = np.flatnonzero((np.diff(hit) != 1) | (np.diff(k0) != 0) | (np.diff(p0) != 1)) + 1
                 for a, z in zip(np.r_[0, cut], np.r_[cut, len(hit)]):
                     s = int(first[i] + hit[a])
-                    out.append((ids[i], int(hit[a]), int(z - a), int(k0[a]), int(p0[a]), _digest(data, start, end, s, s + int(z - a) + k - 1)))
-            cols = list(zip(*out)) if out else [[]] * 6
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
+                    out.append((ids[i], tags[i], int(hit[a]), int(z - a), int(k0[a]), int(p0[a]), _digest(data, start, end, s, s + int(z - a) + k - 1)))
+            cols = list(zip(*out)) if out else [[]] * 7
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names)
 
     return run
@@ -120,20 +120,21 @@ def _verify(k: int) -> Callable:
         for b in small_batches(batches):
             data, off = bytes_of(b.column(b.schema.get_field_index("text")))
             start, end, first = word_spans(data, off)
-            asked = b.column(b.schema.get_field_index("asked"))
+            asked, tags = b.column(b.schema.get_field_index("asked")), b.column(b.schema.get_field_index("tag")).to_pylist()
             out, known = [], {}
             for i in range(b.num_rows):
                 known.clear()
                 for r in asked[i].as_py():
-                    a, z = r["p0"], r["p0"] + r["n"] + k - 1
-                    if z > first[i + 1] - first[i]:
+                    a = r["p0"] & 0xFFFFFFFF
+                    z = a + r["n"] + k - 1
+                    if r["p0"] >> 32 != tags[i] or z > first[i + 1] - first[i]:
                         continue
                     if (a, z) not in known:
                         known[a, z] = _digest(data, start, end, int(first[i]) + a, int(first[i]) + z)
                     if known[a, z] == r["digest"]:
-                        out.append((r["k"], r["start"], r["n"]))
-            cols = list(zip(*out)) if out else [[]] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int32()))], ["k", "start", "n"])
+                        out.append((r["k"], r["tag"], r["start"], r["n"]))
+            cols = list(zip(*out)) if out else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], ["k", "tag", "start", "n"])
 
     return run
 
@@ -159,6 +160,7 @@ def _cover(k: int) -> Callable:
                     equal &= h[a + j] == h[z + j]
                 np.add.at(over, z[equal], 1)
                 np.add.at(over, z[equal] + k, -1)
+            tags = b.column(b.schema.get_field_index("tag")).to_pylist()
             spans, copies = b.column(b.schema.get_field_index("spans")), b.column(b.schema.get_field_index("copy_of")).is_valid()
             for i in range(b.num_rows):
                 if copies[i].as_py() and first[i + 1] - first[i] >= k:
@@ -166,6 +168,8 @@ def _cover(k: int) -> Callable:
                     over[first[i + 1]] -= 1
                 elif spans[i].is_valid:
                     for s in spans[i].as_py():
+                        if s["tag"] != tags[i]:
+                            continue
                         over[first[i] + s["start"]] += 1
                         over[first[i] + s["start"] + s["n"] + k - 1] -= 1
             gone = np.cumsum(over[:-1]) > 0
@@ -194,7 +198,8 @@ def _deal(rows: DataFrame, key: str, size: int, by: list[str]) -> DataFrame:
     """Add ``chunk``: the rows of one key spread over as many chunks as keep each near ``size`` rows."""
     many = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > size)
     spread: Column = F.pmod(F.xxhash64(*by), F.ceil(F.col("_n") / size))
-    return rows.join(many, key, "left").withColumn("chunk", F.coalesce(spread, F.lit(0))).drop("_n")
+    # the exchange lets AQE split the join's hot keys; without it the next group-by would take the join's partitioning
+    return rows.join(many, key, "left").withColumn("chunk", F.coalesce(spread, F.lit(0))).drop("_n").repartition(key, "chunk")
 
 
 def dedup_substrings(docs: DataFrame, k: int = 20, mini: int = 6, chunk: int = 2000) -> DataFrame:
@@ -206,25 +211,33 @@ def dedup_substrings(docs: DataFrame, k: int = 20, mini: int = 6, chunk: int = 2
     against each other; a null doc_id counts as larger than all. Extra columns are ignored.
     """
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("k"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    twice = docs.groupBy("k").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("k")
+    single = twice.isEmpty()
+    if single:
+        docs = docs.withColumn("tag", F.lit(0).cast("long"))
+    else:  # rows of one id are told apart by their texts
+        tag = F.when(F.col("_twice"), F.xxhash64("text").bitwiseAND(F.lit((1 << 30) - 1))).otherwise(0)
+        docs = docs.join(twice.withColumn("_twice", F.lit(True)), "k", "left").withColumn("tag", tag.cast("long")).drop("_twice")
     same = docs.where("text is not null").groupBy(F.sha2("text", 256).alias("digest")).agg(F.min("k").alias("copy_of"), F.max("k").alias("_most"))
     digests = docs.where("text is not null").select("k", F.sha2("text", 256).alias("digest"))
     copies = digests.join(same.where("copy_of < _most").drop("_most"), "digest").where("copy_of < k").groupBy("k").agg(F.max("copy_of").alias("copy_of"))
-    # a row of a repeated doc_id is no copy merely because its namesake is one: then none of them is taken as a copy
-    twice = docs.groupBy("k").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("k")
-    copies = copies.join(twice, "k", "left_anti")
+    if not single:  # a row is no copy merely because its namesake is one
+        copies = copies.join(twice, "k", "left_anti")
 
     seen = docs.join(copies.select("k"), "k", "left_anti").mapInArrow(_send_minimisers(k, mini), "m long, k long")
     repeated = seen.groupBy("m").agg(F.min("k").alias("_a"), F.max("k").alias("_z")).where("_a < _z").select("m")
     marks = seen.join(repeated, "m").groupBy("k").agg(F.collect_set("m").alias("marks"))
 
-    edges = docs.join(marks, "k").mapInArrow(_send_edges(k, mini), "h long, k long, p int")
+    edges = docs.join(marks, "k").mapInArrow(_send_edges(k, mini), "h long, k long, p long")
+    if not single:  # one position an edge and id
+        edges = edges.groupBy("h", "k").agg(F.min("p").alias("p"))
     source = edges.groupBy("h").agg(F.min("k").alias("k0"), F.min_by("p", "k").alias("p0"), F.max("k").alias("_z")).where("k0 < _z").drop("_z")
     later = edges.select("h", "k").join(source, "h").where("k > k0").groupBy("k").agg(F.collect_list(F.struct("h", "k0", "p0")).alias("edges"))
 
-    paths = docs.join(later, "k").mapInArrow(_compact(k), "k long, start int, n int, k0 long, p0 int, digest binary")
-    asked = _deal(paths, "k0", chunk, ["k", "start"]).groupBy("k0", "chunk").agg(F.collect_list(F.struct("k", "start", "n", "p0", "digest")).alias("asked"))
-    sound = docs.join(asked.withColumnRenamed("k0", "k").drop("chunk"), "k").mapInArrow(_verify(k), "k long, start int, n int")
-    spans = sound.groupBy("k").agg(F.collect_set(F.struct("start", "n")).alias("spans"))
+    paths = docs.join(later, "k").mapInArrow(_compact(k), "k long, tag long, start int, n int, k0 long, p0 long, digest binary")
+    asked = _deal(paths, "k0", chunk, ["k", "start"]).groupBy("k0", "chunk").agg(F.collect_list(F.struct("k", "tag", "start", "n", "p0", "digest")).alias("asked"))
+    sound = docs.join(asked.withColumnRenamed("k0", "k").drop("chunk"), "k").mapInArrow(_verify(k), "k long, tag long, start int, n int")
+    spans = sound.groupBy("k").agg(F.collect_set(F.struct("tag", "start", "n")).alias("spans"))
 
     full = docs.join(copies, "k", "left").join(spans, "k", "left")
     return full.mapInArrow(_cover(k), "doc_id long, n_words long, n_removed long, kept_text string, removed array<struct<start:int,n:int>>")
