@@ -126,6 +126,25 @@ def bm25(terms: Column, words: Column, length: Column, k1: float = 1.2, b: float
     return F.aggregate(F.transform(terms, lambda t: t["idf"] * tf(t) * (k1 + 1) / (tf(t) + norm)), F.lit(0.0), lambda x, y: x + y)
 
 
+def content_scores(dmps: DataFrame, works: DataFrame) -> DataFrame:
+    """(dmp_doi, doi, score): BM25 of each plan and every work that has any of the plan's query terms.
+
+    The plans' terms (25 a plan) are broadcast, so a call takes the plans of one search; the works are dealt once, by doi,
+    and a work's terms are counted, scored and summed where it lies. Terms add as multiples of 2^-40, whatever their order.
+    """
+    terms = query_terms(dmps, works).select("dmp_doi", "length", F.explode("terms").alias("t")).select("dmp_doi", "length", "t.term", "t.idf")
+    words = works.select("doi", "title", "abstract_text").repartition("doi").select("doi", tokens(F.concat_ws(" ", "title", "abstract_text")).alias("words"))
+    found = words.select("doi", F.size("words").alias("n"), F.explode("words").alias("term")).join(F.broadcast(terms.select("term").distinct()), "term", "left_semi")
+    counted = found.groupBy("doi", "n", "term").agg(F.count(F.lit(1)).cast("double").alias("tf")).join(F.broadcast(terms), "term")
+    part = bm25_term(F.col("idf"), F.col("tf"), F.col("n"), F.col("length"))
+    return counted.groupBy("dmp_doi", "doi").agg((F.sum(F.round(part * 2.0**40).cast("long")) / 2.0**40).alias("score"))
+
+
+def bm25_term(idf: Column, tf: Column, words: Column, length: Column, k1: float = 1.2, b: float = 0.75) -> Column:
+    """What one term, ``tf`` times in a text of ``words`` words, adds to the text's score."""
+    return idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * words / length))
+
+
 def _named(items: Column, name: str) -> Column:
     return F.transform(items, lambda i: F.struct(i["ror"].alias("ror"), F.array_remove(F.split(F.lower(F.coalesce(i[name], F.lit(""))), r"[^\p{L}\p{N}]+"), "").alias("words")))
 

@@ -415,14 +415,10 @@ def ranklib_rows(spark, d):
 
 @query()
 def match_content(spark, d):
-    """BM25 of benchmark items, as plans, against every document that shares the item's rarest query term."""
+    """The ten documents of highest BM25 of each benchmark item, as a plan, among all that share any of its query terms."""
     works_ = table(spark, d, "documents", "doc_id", "text").select(F.col("doc_id").alias("doi"), F.lit("").alias("title"), F.col("text").alias("abstract_text"))
     plans = table(spark, d, "benchmark", "item_id", "text").select(F.col("item_id").alias("doi"), F.lit("").alias("title"), F.col("text").alias("abstract_text"))
-    terms = signals.query_terms(plans, works_)
-    rare = terms.withColumn("_k", F.element_at(F.array_sort("terms", lambda a, b: F.when(a["idf"] > b["idf"], -1).when(a["idf"] < b["idf"], 1).when(a["term"] < b["term"], -1).otherwise(1)), 1)["term"])
-    words = works_.select("doi", signals.tokens("abstract_text").alias("words"))
-    hit = words.select("doi", F.explode(F.array_distinct("words")).alias("_k")).join(rare, "_k").drop("_k").join(words, "doi")
-    return signals.ranked(hit.select("dmp_doi", "doi", signals.bm25(F.col("terms"), F.col("words"), F.col("length")).alias("score")), 10)
+    return signals.ranked(signals.content_scores(plans, works_), 10)
 
 
 @query("SELECT p_type, count(*) AS n FROM part GROUP BY p_type")
