@@ -81,10 +81,9 @@ def revert_inverted_index(c: str | Column, missing: list[str] | None = None) ->
     """
     words = F.from_json(col(c), "map<string,array<int>>")
     placed = F.flatten(F.transform(F.map_entries(words), lambda e: F.transform(F.array_distinct(e["value"]), lambda p: F.struct(p.alias("p"), e["key"].alias("w")))))
-    order = F.array_sort(placed)
-    # of equal positions the last in order has the greatest word
-    last = F.filter(order, lambda x, i: F.get(order, i + 1).isNull() | (F.get(order, i + 1)["p"] != x["p"]))
-    plain = F.array_join(F.transform(last, lambda x: x["w"]), " ")
+    # of equal positions the last in order has the greatest word; as a lambda's variable the sorted array is made once a row
+    last = lambda o: F.filter(o, lambda x, i: F.get(o, i + 1).isNull() | (F.get(o, i + 1)["p"] != x["p"]))
+    plain = F.get(F.transform(F.array(F.array_sort(placed)), lambda o: F.array_join(F.transform(last(o), lambda x: x["w"]), " ")), 0)
     x = stripped(F.when(col(c).contains("<"), _reverted(col(c))).otherwise(plain))
     return F.when(~x.isin(missing), x) if missing else x
 

@@ -290,6 +290,20 @@ def revert_index(spark, d):
     return inverted.select("doc_id", X.revert_inverted_index("j").alias("text"))
 
 
+@query()
+def revert_index_whole(spark, d):
+    """Every document's text by way of an inverted index (positions of its words between single spaces), markup removed.
+
+    One row per row of documents, null where nothing is left. revert_index and its twin hold the plain short texts alone.
+    """
+    docs = table(spark, d, "documents", "doc_id", "text").withColumn("_row", F.monotonically_increasing_id())
+    placed = docs.select("_row", "doc_id", F.posexplode_outer(F.split("text", " ", -1)).alias("p", "w")).withColumn("w", F.nullif("w", F.lit("")))
+    words = placed.groupBy("_row", "doc_id", "w").agg(F.collect_list("p").alias("p"))
+    entry = F.when(F.col("w").isNotNull(), F.struct("w", "p"))
+    inverted = words.groupBy("_row", "doc_id").agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("j"))
+    return inverted.select("doc_id", X.revert_inverted_index("j").alias("text"))
+
+
 @query()
 def author_names(spark, d):
     return table(spark, d, "customer", "c_custkey", "c_name").select("c_custkey", X.name_parts(F.lit(None), F.lit(None), F.replace("c_name", F.lit("#"), F.lit(" "))).alias("n")).select("c_custkey", "n.*")
