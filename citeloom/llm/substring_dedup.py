@@ -1,20 +1,24 @@
 """Substring dedup by De Bruijn compaction of token k-mers.
 
-Each window of ``k`` words is an edge of the De Bruijn graph over (k-1)-word nodes. An edge is repeated when its
-words also start in a document of smaller id. The steps:
-
-1. *Minimisers.* Consecutive windows share the smallest hash of their inner ``mini``-word runs, so about an eighth of
-   the windows' number is shuffled. Equal windows have equal minimisers; only edges with a minimiser that two
-   documents have go on. Whole-text copies of a smaller id are known from a digest and stand back from this.
-2. *Edges.* Each document sends its distinct candidate edges once; a pre-aggregated group finds an edge's first
-   document and the position there (its source coordinates). A join returns these to the later documents.
-3. *Compaction.* Successive edges whose source coordinates also succeed one another have no branch between them; each
-   such path becomes one span (start, length, source document, source start).
-4. *Verification.* A join on the source document compares a digest of the span's words with the words at the source
-   coordinates. Requests to one much-copied source are dealt into chunks of bounded size.
-5. *Cover.* Verified spans, and windows that repeat within the document, mark the words to remove.
-
-Nothing is collected per edge or minimiser: hot ones are counted by partial aggregates and joined under AQE's skew join.
+Each window of ``k`` words is an edge of the De Bruijn graph, from the node of its first k-1 words to that of its last
+k-1. An edge is repeated when documents of different ids hold it. The steps, each a table in the shared folder:
+
+1. *Copies.* Whole-text copies of a smaller id are known from a digest and stand back from what follows.
+2. *Minimisers.* Consecutive windows share the smallest hash of their inner ``mini``-word runs, so about an eighth of
+   the windows' number is shuffled. Equal windows have equal minimisers; only windows with a minimiser that two
+   documents have go on.
+3. *Edges.* Each document sends its distinct candidate edges with both nodes. A pre-aggregated group by edge leaves the
+   repeated ones, each with its source coordinates: the first document that holds it, and the position there.
+4. *Compaction.* A node that one repeated edge enters and one leaves is no branch: a join on such nodes links their two
+   edges, and linked edges whose source coordinates succeed one another make a nonbranching path.
+5. *Spans.* A join on the edge tells the later documents which path they walk; each unbroken walk is one span.
+6. *Verification.* A join on the source document compares a digest of the span's words with those at the source
+   coordinates. Requests to one much-copied source are dealt into chunks. Where a digest differs (a hash collision),
+   the span's windows are grouped by their words themselves.
+7. *Cover.* Verified spans, and windows that repeat within the document, mark the words to remove.
+
+Nothing is collected per edge, node or minimiser: hot ones are counted by partial aggregates, which are written, so that
+the joins back to them read two exchanges, which AQE can split. Lists are gathered per document, and bounded by its text.
 """
 
 from __future__ import annotations
@@ -24,20 +28,25 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from citeloom.llm.textops import U, bytes_of, mix, run_hashes, sliding_min, small_batches, windows_in, word_hashes, word_spans
+from citeloom.llm.textops import Scratch, U, bytes_of, mix, run_hashes, sliding_min, small_batches, windows_in, word_hashes, word_spans
 
+#: A null id counts as this, larger than all.
 LAST = 2**63 - 1
+KEY = ["k", "tag"]
+_OTHER = U(0xC2B2AE3D27D4EB4F)  # an odd multiplier, for a second hash of a window
 
 
-def _windows(batch: pa.RecordBatch, k: int) -> tuple:
-    data, off = bytes_of(batch.column(batch.schema.get_field_index("text")))
+def _column(batch: pa.RecordBatch, name: str) -> pa.Array:
+    return batch.column(batch.schema.get_field_index(name))
+
+
+def _words(batch: pa.RecordBatch) -> tuple:
+    data, off = bytes_of(_column(batch, "text"))
     start, end, first = word_spans(data, off)
-    h = word_hashes(data, start, end)
-    at, doc = windows_in(first, k)
-    return data, start, end, first, h, mix(run_hashes(h, k)[at]), at, doc
+    return data, start, end, first, word_hashes(data, start, end)
 
 
 def _minimisers(h: np.ndarray, at: np.ndarray, k: int, mini: int) -> np.ndarray:
@@ -47,30 +56,38 @@ def _minimisers(h: np.ndarray, at: np.ndarray, k: int, mini: int) -> np.ndarray:
 def _send_minimisers(k: int, mini: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches):
-            _, _, _, _, h, _, at, doc = _windows(b, k)
+            _, _, _, first, h = _words(b)
+            at, doc = windows_in(first, k)
             m = _minimisers(h, at, k, mini)
+            order = np.lexsort((m, doc))
+            m, doc = m[order], doc[order]
             new = np.ones(len(m), bool)
             new[1:] = (m[1:] != m[:-1]) | (doc[1:] != doc[:-1])
-            ids = b.column(b.schema.get_field_index("k")).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(m[new].view(np.int64)), pa.array(ids[doc[new]])], ["m", "k"])
+            who = pa.array(doc[new])
+            yield pa.RecordBatch.from_arrays([pa.array(m[new].view(np.int64)), _column(b, "k").take(who), _column(b, "tag").take(who)], ["m", *KEY])
 
     return run
 
 
-def _send_edges(k: int, mini: int) -> Callable:
+def _send_edges(k: int, mini: int, mask: U) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches):
-            _, _, _, first, h, w, at, doc = _windows(b, k)
+            _, _, _, first, h = _words(b)
+            at, doc = windows_in(first, k)
             # a minimiser that any document has repeated is repeated for all of them
-            known = b.column(b.schema.get_field_index("marks")).flatten().to_numpy(zero_copy_only=False).view(U)
+            known = _column(b, "marks").flatten().to_numpy(zero_copy_only=False).view(U)
             keep = np.flatnonzero(np.isin(_minimisers(h, at, k, mini), known))
-            keep = keep[np.lexsort((at[keep], w[keep], doc[keep]))]
+            edge, node, twin = run_hashes(h, k), mix(run_hashes(h, k - 1)), run_hashes(h, k, _OTHER)
+            w, x = mix(edge[at[keep]]) & mask, twin[at[keep]]
+            order = np.lexsort((at[keep], x, w, doc[keep]))
+            w, x, keep = w[order], x[order], keep[order]
             new = np.ones(len(keep), bool)
-            new[1:] = (w[keep][1:] != w[keep][:-1]) | (doc[keep][1:] != doc[keep][:-1])
-            keep = np.sort(keep[new])
-            ids, tag = (b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("k", "tag"))
-            pos = (at - first[:-1][doc]) + (tag[doc] << 32)
-            yield pa.RecordBatch.from_arrays([pa.array(w[keep].view(np.int64)), pa.array(ids[doc[keep]]), pa.array(pos[keep])], ["h", "k", "p"])
+            new[1:] = (w[1:] != w[:-1]) | (x[1:] != x[:-1]) | (doc[keep][1:] != doc[keep][:-1])
+            back = np.argsort(keep[new])
+            w, keep = w[new][back], keep[new][back]
+            i, who = at[keep], pa.array(doc[keep])
+            hashes = [pa.array(v.view(np.int64)) for v in (w, node[i], node[i + 1] if len(i) else node[:0])]
+            yield pa.RecordBatch.from_arrays([*hashes, _column(b, "k").take(who), _column(b, "tag").take(who), pa.array(i - first[:-1][doc[keep]])], ["h", "head", "tail", *KEY, "p"])
 
     return run
 
@@ -80,166 +97,234 @@ def _digest(data: np.ndarray, start: np.ndarray, end: np.ndarray, a: int, b: int
     return hashlib.blake2b(b" ".join(data[start[a] : end[b - 1]].tobytes().split()), digest_size=16).digest()
 
 
-def _compact(k: int) -> Callable:
-    names = ["k", "tag", "start", "n", "k0", "p0", "digest"]
+_SPAN = ["k", "tag", "start", "n", "k0", "tag0", "p0"]
+
+
+def _digests(k: int) -> Callable:
+    """Of each span of a document, with the span."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches):
-            data, start, end, first, _, w, at, doc = _windows(b, k)
-            ids, tags = (b.column(b.schema.get_field_index(c)).to_pylist() for c in ("k", "tag"))
-            lists = b.column(b.schema.get_field_index("edges"))
-            bound = np.searchsorted(doc, np.arange(b.num_rows + 1))
-            out = []
-            for i in range(b.num_rows):
-                own = lists[i].values
-                hs = own.field("h").to_numpy(zero_copy_only=False).view(U)
-                order = np.argsort(hs)
-                hs = hs[order]
-                wi = w[bound[i] : bound[i + 1]]
-                if not len(hs) or not len(wi):
-                    continue
-                where = np.minimum(np.searchsorted(hs, wi), len(hs) - 1)
-                hit = np.flatnonzero(hs[where] == wi)
-                if not len(hit):
-                    continue
-                k0 = own.field("k0").to_numpy(zero_copy_only=False)[order][where[hit]]
-                p0 = own.field("p0").to_numpy(zero_copy_only=False)[order][where[hit]]
-                cut = np.flatnonzero((np.diff(hit) != 1) | (np.diff(k0) != 0) | (np.diff(p0) != 1)) + 1
-                for a, z in zip(np.r_[0, cut], np.r_[cut, len(hit)]):
-                    s = int(first[i] + hit[a])
-                    out.append((ids[i], tags[i], int(hit[a]), int(z - a), int(k0[a]), int(p0[a]), _digest(data, start, end, s, s + int(z - a) + k - 1)))
-            cols = list(zip(*out)) if out else [[]] * 7
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names)
+            data, start, end, first, _ = _words(b)
+            lists = _column(b, "spans")
+            size = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False)
+            who, spans = np.repeat(np.arange(b.num_rows), size), lists.flatten()
+            at = first[who] + spans.field("start").to_numpy(zero_copy_only=False)
+            to = at + spans.field("n").to_numpy(zero_copy_only=False) + k - 1
+            marks = [_digest(data, start, end, x, y) for x, y in zip(at.tolist(), to.tolist())]
+            who = pa.array(who)
+            cols = [_column(b, "k").take(who), _column(b, "tag").take(who), *[spans.field(c) for c in _SPAN[2:]], pa.array(marks, pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, [*_SPAN, "digest"])
 
     return run
 
 
 def _verify(k: int) -> Callable:
+    """The asked spans, each with whether the document's words at the place are those of the digest."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches):
-            data, off = bytes_of(b.column(b.schema.get_field_index("text")))
-            start, end, first = word_spans(data, off)
-            asked, tags = b.column(b.schema.get_field_index("asked")), b.column(b.schema.get_field_index("tag")).to_pylist()
-            out, known = [], {}
-            for i in range(b.num_rows):
-                known.clear()
-                for r in asked[i].as_py():
-                    a = r["p0"] & 0xFFFFFFFF
-                    z = a + r["n"] + k - 1
-                    if r["p0"] >> 32 != tags[i] or z > first[i + 1] - first[i]:
-                        continue
-                    if (a, z) not in known:
-                        known[a, z] = _digest(data, start, end, int(first[i]) + a, int(first[i]) + z)
-                    if known[a, z] == r["digest"]:
-                        out.append((r["k"], r["tag"], r["start"], r["n"]))
-            cols = list(zip(*out)) if out else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], ["k", "tag", "start", "n"])
+            data, start, end, first, _ = _words(b)
+            lists = _column(b, "asked")
+            size = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False)
+            who, asked = np.repeat(np.arange(b.num_rows), size), lists.flatten()
+            at = first[who] + asked.field("p0").to_numpy(zero_copy_only=False)
+            to = at + asked.field("n").to_numpy(zero_copy_only=False) + k - 1
+            known: dict[tuple[int, int], bytes] = {}
+            equal = []
+            for x, y, last, want in zip(at.tolist(), to.tolist(), first[who + 1].tolist(), asked.field("digest").to_pylist()):
+                if y <= last and (x, y) not in known:
+                    known[x, y] = _digest(data, start, end, x, y)
+                equal.append(y <= last and known[x, y] == want)
+            yield pa.RecordBatch.from_arrays([*[asked.field(c) for c in _SPAN[:4]], pa.array(equal, pa.bool_())], [*_SPAN[:4], "equal"])
+
+    return run
+
+
+def _spell(k: int) -> Callable:
+    """The words of the asked windows, joined by a space."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small_batches(batches):
+            data, start, end, first, _ = _words(b)
+            lists = _column(b, "places")
+            who = np.repeat(np.arange(b.num_rows), pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))
+            p = lists.flatten().to_numpy(zero_copy_only=False)
+            spelt = [b" ".join(data[start[x] : end[x + k - 1]].tobytes().split()).decode() for x in (first[who] + p).tolist()]
+            who = pa.array(who)
+            yield pa.RecordBatch.from_arrays([pa.array(spelt, pa.string()), _column(b, "k").take(who), _column(b, "tag").take(who), pa.array(p)], ["words", *KEY, "p"])
 
     return run
 
 
+def _own_repeats(data: np.ndarray, start: np.ndarray, end: np.ndarray, h: np.ndarray, at: np.ndarray, doc: np.ndarray, k: int) -> np.ndarray:
+    """First words of the windows whose words also start earlier in their document."""
+    w = run_hashes(h, k)[at]
+    order = np.lexsort((at, w, doc))
+    same = np.r_[False, (w[order][1:] == w[order][:-1]) & (doc[order][1:] == doc[order][:-1])]
+    if not same.any():
+        return at[:0]
+    heads = np.flatnonzero(~same)
+    group = np.cumsum(~same) - 1
+    later = np.flatnonzero(same)
+    one, two = at[order[heads[group[later]]]], at[order[later]]
+    # equal hashes are candidates; the words themselves, each spelling once numbered, decide
+    used = np.zeros(len(h) + 1, np.int64)
+    for x in (one, two):
+        np.add.at(used, x, 1)
+        np.add.at(used, x + k, -1)
+    used = np.flatnonzero(np.cumsum(used[:-1]) > 0)
+    number: dict[bytes, int] = {}
+    ids, raw = np.zeros(len(h), np.int64), data.tobytes()
+    ids[used] = [number.setdefault(raw[a:b], len(number)) for a, b in zip(start[used].tolist(), end[used].tolist())]
+    equal = np.ones(len(one), bool)
+    for j in range(k):
+        equal &= ids[one + j] == ids[two + j]
+    found = two[equal].tolist()
+    for g in np.unique(group[later[~equal]]):  # hash collisions: each of the group against all before it
+        seen = set()
+        for i in at[order[group == g]].tolist():
+            if (words := ids[i : i + k].tobytes()) in seen:
+                found.append(i)
+            seen.add(words)
+    return np.unique(np.array(found, np.int64))
+
+
 def _cover(k: int) -> Callable:
-    span = pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32())]))
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("n", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches):
-            data, start, end, first, h, w, at, doc = _windows(b, k)
+            data, start, end, first, h = _words(b)
             over = np.zeros(len(start) + 1, np.int64)
-            # windows that repeat one of the same document, compared word by word
-            order = np.lexsort((at, w, doc))
-            same = np.flatnonzero((w[order][1:] == w[order][:-1]) & (doc[order][1:] == doc[order][:-1])) + 1
-            if len(same):
-                lead = np.ones(len(order), bool)
-                lead[same] = False
-                heads = np.flatnonzero(lead)
-                head = heads[np.searchsorted(heads, same, side="right") - 1]
-                a, z = at[order[head]], at[order[same]]
-                equal = np.ones(len(same), bool)
-                for j in range(k):
-                    equal &= h[a + j] == h[z + j]
-                np.add.at(over, z[equal], 1)
-                np.add.at(over, z[equal] + k, -1)
-            tags = b.column(b.schema.get_field_index("tag")).to_pylist()
-            spans, copies = b.column(b.schema.get_field_index("spans")), b.column(b.schema.get_field_index("copy_of")).is_valid()
+            own = _own_repeats(data, start, end, h, *windows_in(first, k), k)
+            np.add.at(over, own, 1)
+            np.add.at(over, own + k, -1)
+            spans, copies = _column(b, "spans"), _column(b, "copy_of").is_valid().to_pylist()
             for i in range(b.num_rows):
-                if copies[i].as_py() and first[i + 1] - first[i] >= k:
+                if copies[i] and first[i + 1] - first[i] >= k:
                     over[first[i]] += 1
                     over[first[i + 1]] -= 1
                 elif spans[i].is_valid:
                     for s in spans[i].as_py():
-                        if s["tag"] != tags[i]:
-                            continue
                         over[first[i] + s["start"]] += 1
                         over[first[i] + s["start"] + s["n"] + k - 1] -= 1
             gone = np.cumsum(over[:-1]) > 0
-            texts, removed, lost = [], [], np.add.reduceat(np.r_[gone, False], first[:-1]) if len(first) > 1 else []
+            total = np.r_[0, np.cumsum(gone)]
+            texts, removed = [], []
             for i in range(b.num_rows):
                 lo, hi = first[i], first[i + 1]
-                if lo == hi:
-                    texts.append("")
-                    removed.append([])
-                    continue
                 g = gone[lo:hi]
-                words = data[start[lo] : end[hi - 1]].tobytes().split()
+                words = data[start[lo] : end[hi - 1]].tobytes().split() if lo < hi else []
                 edge = np.flatnonzero(np.diff(np.r_[False, g, False].astype(np.int8)))
                 removed.append([{"start": int(a), "n": int(z - a)} for a, z in edge.reshape(-1, 2)])
                 texts.append(b" ".join([x for x, y in zip(words, g.tolist()) if not y] if len(edge) else words).decode())
-            n = np.diff(first)
-            yield pa.RecordBatch.from_arrays([
-                b.column(b.schema.get_field_index("doc_id")), pa.array(n.astype(np.int64)),
-                pa.array(np.where(n > 0, lost, 0).astype(np.int64)), pa.array(texts, pa.string()), pa.array(removed, span),
-            ], ["doc_id", "n_words", "n_removed", "kept_text", "removed"])
+            cols = [pa.array(np.diff(first).astype(np.int64)), pa.array((total[first[1:]] - total[first[:-1]]).astype(np.int64)), pa.array(texts, pa.string()), pa.array(removed, kind)]
+            yield pa.RecordBatch.from_arrays([_column(b, "doc_id"), *cols], ["doc_id", "n_words", "n_removed", "kept_text", "removed"])
 
     return run
 
 
-def _deal(rows: DataFrame, key: str, size: int, by: list[str]) -> DataFrame:
+def _deal(rows: DataFrame, by: list[str], size: int, spread: list[str]) -> DataFrame:
     """Add ``chunk``: the rows of one key spread over as many chunks as keep each near ``size`` rows."""
-    many = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > size)
-    spread: Column = F.pmod(F.xxhash64(*by), F.ceil(F.col("_n") / size))
-    # the exchange lets AQE split the join's hot keys; without it the next group-by would take the join's partitioning
-    return rows.join(many, key, "left").withColumn("chunk", F.coalesce(spread, F.lit(0))).drop("_n").repartition(key, "chunk")
+    many = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > size)
+    chunk: Column = F.pmod(F.xxhash64(*spread), F.ceil(F.col("_n") / size))
+    return rows.join(many, by, "left").withColumn("chunk", F.coalesce(chunk, F.lit(0))).drop("_n")
+
 
+def _paths(source: DataFrame) -> DataFrame:
+    """h, k0, tag0, p0, path: each repeated edge with its source coordinates and its path's first position there.
 
-def dedup_substrings(docs: DataFrame, k: int = 20, mini: int = 6, chunk: int = 2000) -> DataFrame:
+    A path goes on from an edge to the next at the source if the node between them has one edge in and one out.
+    """
+    enters = source.groupBy(F.col("tail").alias("node")).agg(F.count(F.lit(1)).alias("_in"), F.min(F.struct("k0", "tag0", "p0")).alias("a")).where("_in = 1")
+    leaves = source.groupBy(F.col("head").alias("node")).agg(F.count(F.lit(1)).alias("_out"), F.min(F.struct("k0", "tag0", "p0")).alias("b")).where("_out = 1")
+    linked = enters.join(leaves, "node").where("a.k0 = b.k0 and a.tag0 = b.tag0 and a.p0 + 1 = b.p0").select("b.k0", "b.tag0", "b.p0")
+    # one pass over each source document: a link's row stands just before that of the edge it leads to
+    both = source.select("h", "k0", "tag0", "p0", F.lit(1).alias("edge")).unionByName(linked.withColumn("edge", F.lit(0)), allowMissingColumns=True)
+    along = Window.partitionBy("k0", "tag0").orderBy("p0", "edge")
+    goes_on = (F.lag("edge").over(along) == 0) & (F.lag("p0").over(along) == F.col("p0"))
+    begun = F.when((F.col("edge") == 1) & ~F.coalesce(goes_on, F.lit(False)), F.col("p0"))
+    return both.withColumn("_b", begun).withColumn("path", F.last("_b", ignorenulls=True).over(along)).where("edge = 1").select("h", "k0", "tag0", "p0", "path")
+
+
+def _walks(edges: DataFrame, paths: DataFrame) -> DataFrame:
+    """k, tag, start, n, k0, tag0, p0: the unbroken walks of later documents along a path, from its place p0 at the source."""
+    met = edges.select("h", *KEY, "p").join(paths, "h").where("k > k0")
+    order = Window.partitionBy(*KEY).orderBy("p", "k0", "tag0", "p0")
+    same = [F.lag(c).over(order) == F.col(c) for c in ("k0", "tag0", "path")] + [F.lag(c).over(order) + 1 == F.col(c) for c in ("p", "p0")]
+    broken = ~F.coalesce(same[0] & same[1] & same[2] & same[3] & same[4], F.lit(False))
+    met = met.withColumn("_new", broken.cast("int")).withColumn("walk", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    first = F.min(F.struct("p", "k0", "tag0", "p0"))
+    walks = met.groupBy(*KEY, "walk").agg(first.alias("s"), F.count(F.lit(1)).cast("int").alias("n"))
+    return walks.select(*KEY, F.col("s.p").cast("int").alias("start"), "n", "s.k0", "s.tag0", F.col("s.p0").alias("p0"))
+
+
+def _spelt_out(docs: DataFrame, edges: DataFrame, failed: DataFrame, k: int) -> DataFrame:
+    """k, tag, start, n: of all documents, the windows that share a hash with a failed span and whose words are a smaller id's."""
+    place = failed.select(*KEY, F.explode(F.sequence(F.col("start").cast("long"), F.col("start") + F.col("n") - F.lit(1).cast("long"))).alias("p"))
+    doubtful = edges.join(place, [*KEY, "p"]).select("h").distinct()
+    places = edges.join(doubtful, "h").groupBy(*KEY).agg(F.collect_set("p").alias("places"))
+    spelt = docs.select(*KEY, "text").join(places, KEY).mapInArrow(_spell(k), "words string, k long, tag string, p long")
+    least = spelt.groupBy("words").agg(F.min("k").alias("k0"))
+    return spelt.join(least, "words").where("k > k0").select(*KEY, F.col("p").cast("int").alias("start"), F.lit(1).alias("n"))
+
+
+def _keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(k, tag, doc_id, text) of all rows, and of one row for each k and tag. tag tells rows of one id apart by their texts."""
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("k"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    twice = docs.groupBy("k").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("k", F.lit(True).alias("_twice"))
+    if twice.isEmpty():
+        docs = docs.select("k", F.lit("").alias("tag"), "doc_id", "text")
+        return docs, docs
+    tag = F.when(F.col("_twice"), F.substring(F.sha2("text", 256), 1, 32))
+    docs = docs.join(twice, "k", "left").select("k", F.coalesce(tag, F.lit("")).alias("tag"), "doc_id", "text")
+    return docs, docs.groupBy(*KEY).agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
+
+
+def dedup_substrings(docs: DataFrame, k: int = 20, mini: int = 6, chunk: int = 2000, bits: int = 64) -> DataFrame:
     """Remove from ``docs`` (doc_id long, text string) every word inside a ``k``-word window that also starts earlier.
 
     Earlier: in a document of smaller id, or before in the same document. Returns one row per input row: doc_id,
     n_words, n_removed, kept_text (kept words joined by one space), removed (array of word start and count).
     Null and empty texts have no words. Rows of equal doc_id are judged each against smaller ids and itself, not
-    against each other; a null doc_id counts as larger than all. Extra columns are ignored.
+    against each other; a null doc_id counts as larger than all. Extra columns are ignored. Edges are told apart by
+    ``bits`` of a hash, and removed by their words alone: a collision costs time, no word.
     """
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("k"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    twice = docs.groupBy("k").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("k")
-    single = twice.isEmpty()
-    if single:
-        docs = docs.withColumn("tag", F.lit(0).cast("long"))
-    else:  # rows of one id are told apart by their texts
-        tag = F.when(F.col("_twice"), F.xxhash64("text").bitwiseAND(F.lit((1 << 30) - 1))).otherwise(0)
-        docs = docs.join(twice.withColumn("_twice", F.lit(True)), "k", "left").withColumn("tag", tag.cast("long")).drop("_twice")
-    same = docs.where("text is not null").groupBy(F.sha2("text", 256).alias("digest")).agg(F.min("k").alias("copy_of"), F.max("k").alias("_most"))
-    digests = docs.where("text is not null").select("k", F.sha2("text", 256).alias("digest"))
-    copies = digests.join(same.where("copy_of < _most").drop("_most"), "digest").where("copy_of < k").groupBy("k").agg(F.max("copy_of").alias("copy_of"))
-    if not single:  # a row is no copy merely because its namesake is one
-        copies = copies.join(twice, "k", "left_anti")
-
-    seen = docs.join(copies.select("k"), "k", "left_anti").mapInArrow(_send_minimisers(k, mini), "m long, k long")
-    repeated = seen.groupBy("m").agg(F.min("k").alias("_a"), F.max("k").alias("_z")).where("_a < _z").select("m")
-    marks = seen.join(repeated, "m").groupBy("k").agg(F.collect_set("m").alias("marks"))
-
-    edges = docs.join(marks, "k").mapInArrow(_send_edges(k, mini), "h long, k long, p long")
-    if not single:  # one position an edge and id
-        edges = edges.groupBy("h", "k").agg(F.min("p").alias("p"))
-    source = edges.groupBy("h").agg(F.min("k").alias("k0"), F.min_by("p", "k").alias("p0"), F.max("k").alias("_z")).where("k0 < _z").drop("_z")
-    later = edges.select("h", "k").join(source, "h").where("k > k0").groupBy("k").agg(F.collect_list(F.struct("h", "k0", "p0")).alias("edges"))
-
-    paths = docs.join(later, "k").mapInArrow(_compact(k), "k long, tag long, start int, n int, k0 long, p0 long, digest binary")
-    asked = _deal(paths, "k0", chunk, ["k", "start"]).groupBy("k0", "chunk").agg(F.collect_list(F.struct("k", "tag", "start", "n", "p0", "digest")).alias("asked"))
-    sound = docs.join(asked.withColumnRenamed("k0", "k").drop("chunk"), "k").mapInArrow(_verify(k), "k long, tag long, start int, n int")
-    spans = sound.groupBy("k").agg(F.collect_set(F.struct("tag", "start", "n")).alias("spans"))
-
-    full = docs.join(copies, "k", "left").join(spans, "k", "left")
+    step = Scratch(docs.sparkSession)
+    docs, lone = _keyed(docs)
+    digests = lone.where("text is not null").select(*KEY, F.unhex(F.sha2("text", 256)).alias("digest"))
+    same = step.keep(digests.groupBy("digest").agg(F.min("k").alias("copy_of"), F.max("k").alias("_most")).where("copy_of < _most").drop("_most"), "texts")
+    copies = step.keep(digests.join(same, "digest").where("copy_of < k").select(*KEY, "copy_of"), "copies")
+
+    rest = lone.join(copies, KEY, "left_anti")
+    seen = step.keep(rest.mapInArrow(_send_minimisers(k, mini), "m long, k long, tag string"), "minimisers")
+    repeated = step.keep(seen.groupBy("m").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("m"), "repeated")
+    marks = step.keep(seen.join(repeated, "m").groupBy(*KEY).agg(F.collect_set("m").alias("marks")), "marks")
+    step.drop("texts", "minimisers", "repeated")
+
+    edges = step.keep(lone.join(marks, KEY).mapInArrow(_send_edges(k, mini, U((1 << bits) - 1)), "h long, head long, tail long, k long, tag string, p long"), "edges")
+    step.drop("marks")
+    first = F.min(F.struct("k", "tag", "p", "head", "tail")).alias("s")
+    source = edges.groupBy("h").agg(first, F.max("k").alias("_z")).where("s.k < _z")
+    source = step.keep(source.select("h", "s.head", "s.tail", F.col("s.k").alias("k0"), F.col("s.tag").alias("tag0"), F.col("s.p").alias("p0")), "source")
+    paths = step.keep(_paths(source), "paths")
+    step.drop("source")
+    walks = step.keep(_walks(edges, paths), "walks")
+    step.drop("paths")
+
+    spans = walks.groupBy(*KEY).agg(F.collect_list(F.struct(*_SPAN[2:])).alias("spans"))
+    drawn = lone.join(spans, KEY).mapInArrow(_digests(k), "k long, tag string, start int, n int, k0 long, tag0 string, p0 long, digest binary")
+    asked = _deal(drawn, ["k0", "tag0"], chunk, ["k", "tag", "start"]).groupBy("k0", "tag0", "chunk").agg(F.collect_list(F.struct(*_SPAN[:4], "p0", "digest")).alias("asked"))
+    asked = asked.select(F.col("k0").alias("k"), F.col("tag0").alias("tag"), "asked")
+    checked = step.keep(lone.join(asked, KEY).mapInArrow(_verify(k), "k long, tag string, start int, n int, equal boolean"), "checked")
+    sound, failed = checked.where("equal").drop("equal"), checked.where("not equal")
+    if not failed.isEmpty():
+        sound = step.keep(sound.unionByName(_spelt_out(lone, edges, failed, k)), "sound")
+    step.drop("edges", "walks")
+
+    gone = sound.groupBy(*KEY).agg(F.collect_set(F.struct("start", "n")).alias("spans"))
+    full = docs.join(copies, KEY, "left").join(gone, KEY, "left")
     return full.mapInArrow(_cover(k), "doc_id long, n_words long, n_removed long, kept_text string, removed array<struct<start:int,n:int>>")
 
 
