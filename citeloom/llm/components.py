@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.llm.textops import materialise
+from citeloom.llm.textops import Scratch
 
 
 def _lowest(links: DataFrame) -> DataFrame:
@@ -30,12 +30,13 @@ def _round(links: DataFrame) -> DataFrame:
 def connected(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """u long, v long (any order, repeats and self links allowed) to node, root: each linked node's smallest reachable node."""
     links = links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    links = materialise(links, "links")
-    mark = None
-    for _ in range(most_rounds):
+    step = Scratch(links.sparkSession)
+    links, mark = step.keep(links, "links0"), None
+    for n in range(most_rounds):
         state = links.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 30)))).first()
         if state[0] == 0 or tuple(state) == mark:
             return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
         mark = tuple(state)
-        links = materialise(_round(links), "links")
+        links = step.keep(_round(links), f"links{n + 1}")
+        step.drop(f"links{n}")
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")

@@ -4,11 +4,16 @@ Two fingerprints that differ in at most two bits have a common neighbour within
 fingerprint is sent under all 65 values of its radius-1 ball; those that meet under one value are within two bits of
 each other. Only distinct fingerprints travel, a value's group has at most 65 members whatever the input, and each
 member is linked to the smallest of its group, which keeps every component whole without emitting all pairs.
+
+Near duplicates of a stated similarity (``similar_classes``) need more bits than one small ball holds, and there members
+of a group need not be similar. They are ball-hashed in several tables of fewer bits, and every pair of members that are
+not known to be of one class is verified by its exact shingle sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeloom.llm.components import connected
-from citeloom.llm.textops import materialise, mix, small_batches
+from citeloom.llm.textops import Scratch, materialise, mix, small_batches
 
 RADIUS = 2
 
@@ -117,31 +122,47 @@ def sketch(shingles: np.ndarray, bits: int) -> np.ndarray:
     return (2 * count[:bits] > len(shingles)).astype(np.uint8)
 
 
-def _sketches(words: int, tables: int, bits: int) -> Callable:
+_MADE = "id long, folded binary, checks array<long>, bases array<long>, shingles array<long>"
+
+
+def _sketches(words: int, least: float, tables: int, bits: int, short: int) -> Callable:
     place = (1 << np.arange(bits, dtype=np.int64))[::-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches):
-            marks, folded, bases = [], [], []
+            folded, checks, bases, own = [], [], [], []
             for t in b.column(b.schema.get_field_index("text")).to_pylist():
-                s = sketch(shingle_set(t, words), tables * bits)
-                marks.append(np.packbits(s).tobytes())
+                shingles = shingle_set(t, words)
+                s = sketch(shingles, tables * bits)
                 folded.append(xxhash.xxh3_128_digest(b" ".join((t or "").encode().lower().split())))
                 bases.append((s.reshape(tables, bits) @ place + (np.arange(tables, dtype=np.int64) << bits)).tolist())
-            yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index("id")), pa.array(folded, pa.binary()), pa.array(marks, pa.binary()), pa.array(bases, pa.list_(pa.int64()))], ["id", "folded", "mark", "bases"])
+                # the sketch's first and last 64 bits; of texts of few shingles, these themselves, as negative numbers
+                few = len(shingles) <= short / least
+                checks.append([] if few else [int.from_bytes(np.packbits(x).tobytes(), "big", signed=True) for x in (s[:64], s[-64:])])
+                own.append((-1 - (shingles >> np.uint64(2)).astype(np.int64)).tolist() if few else [])
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in (checks, bases, own)]
+            yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index("id")), pa.array(folded, pa.binary()), *lists], ["id", "folded", "checks", "bases", "shingles"])
 
     return run
 
 
 def _sets(words: int) -> Callable:
+    """The six high bytes of each shingle hash, in order."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches):
-            sets = [(shingle_set(t, words) >> np.uint64(16)).tobytes() for t in b.column(b.schema.get_field_index("text")).to_pylist()]
+            sets = [shingle_set(t, words).astype(">u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for t in b.column(b.schema.get_field_index("text")).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index("id")), pa.array(sets, pa.binary())], ["id", "shingles"])
 
     return run
 
 
+def _hashes(packed: pa.Scalar) -> np.ndarray:
+    out = np.zeros((len(packed.as_buffer()) // 6, 8), np.uint8)
+    out[:, 2:] = np.frombuffer(packed.as_buffer(), np.uint8).reshape(-1, 6)
+    return out.reshape(-1).view(">u8").astype(np.uint64)
+
+
 def _agree(least: float) -> Callable:
     """Keep the pairs whose shingle sets have a Jaccard similarity of at least ``least``."""
 
@@ -149,7 +170,7 @@ def _agree(least: float) -> Callable:
         for b in batches:
             keep = []
             for x, y in zip(b.column(b.schema.get_field_index("a")), b.column(b.schema.get_field_index("b"))):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                x, y = _hashes(x), _hashes(y)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(both >= least * max(1, len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(c)) for c in "uv"], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
@@ -157,61 +178,120 @@ def _agree(least: float) -> Callable:
     return run
 
 
-def _apart() -> Column:
-    """Differing bits of the two marks, 8 bytes at a time."""
-    part = lambda c, i: F.conv(F.hex(F.substring(c, i, F.lit(7))), 16, 10).cast("long")
-    steps = F.sequence(F.lit(1), F.length("mark_u"), F.lit(7))
-    return F.aggregate(F.transform(steps, lambda i: F.bit_count(part(F.col("mark_u"), i).bitwiseXOR(part(F.col("mark_v"), i)))), F.lit(0), lambda a, b: a + b)
+def _verified(docs: DataFrame, pairs: DataFrame, words: int, least: float, name: str, step: Scratch) -> DataFrame:
+    """The pairs (u, v) whose shingle sets are similar enough, written; one of the two sets travels for each pair."""
+    pairs = step.keep(pairs, f"{name}-pairs")
+    wanted = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
+    sets = step.keep(docs.join(wanted, "id", "left_semi").mapInArrow(_sets(words), "id long, shingles binary"), f"{name}-sets")
+    full = pairs.join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v").select("u", "v", "a", "b")
+    links = step.keep(full.mapInArrow(_agree(least), "u long, v long"), f"{name}-links")
+    step.drop(f"{name}-pairs", f"{name}-sets")
+    return links
+
+
+def _met(rows: DataFrame, near: Callable[[Column, Column], Column], block: int, name: str, step: Scratch) -> DataFrame:
+    """Distinct pairs (u, v) of ids of different classes under one value, from rows (value, id, class, mark).
+
+    Pairs are refused where near(mark, mark) is false. A value of more than ``block`` rows is dealt into blocks, and
+    every two of them meet, so that no group is gathered whole.
+    """
+    rows = rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("value")))
+    rows = step.keep(rows.where("n > 1"), f"{name}-met")
+    member = F.collect_list(F.struct("id", "class", "mark")).alias("g")
+    small = rows.where(F.col("n") <= block).groupBy("value").agg(member)
+    parts = F.ceil(F.col("n") / block)
+    large = rows.where(F.col("n") > block).withColumn("own", F.pmod(F.xxhash64("id"), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    large = large.groupBy("value", F.least("own", "other").alias("_a"), F.greatest("own", "other").alias("_b")).agg(member)
+
+    def mates(x: Column) -> Column:
+        fit = F.filter("g", lambda y: (x["id"] > y["id"]) & (x["class"] != y["class"]) & F.coalesce(near(x["mark"], y["mark"]), F.lit(True)))
+        return F.transform(fit, lambda y: F.struct(x["id"].alias("u"), y["id"].alias("v")))
 
+    pairs = small.select("g").unionByName(large.select("g")).select(F.explode(F.flatten(F.transform("g", mates))).alias("p"))
+    return pairs.select("p.u", "p.v").distinct()
 
-def similar_classes(docs: DataFrame, words: int = 5, least: float = 0.8, tables: int = 12, bits: int = 28) -> DataFrame:
+
+def _prefixes(units: DataFrame, least: float, step: Scratch) -> DataFrame:
+    """value, id, class, mark (the set's size): of each short text its rarest shingles, so many that similar sets share one."""
+    each = units.select("id", "class", F.size("shingles").cast("long").alias("mark"), F.explode("shingles").alias("value"))
+    common = step.keep(each.groupBy("value").agg(F.count(F.lit(1)).alias("many")).where("many > 1"), "common")
+    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.coalesce("many", F.lit(1)), "value"))
+    ranked = each.join(common, "value", "left").withColumn("rank", rank)
+    return ranked.where(F.col("rank") <= F.col("mark") - F.ceil(F.col("mark") * least - 1e-9) + 1).where("many > 1").select("value", "id", "class", "mark")
+
+
+def _classed(ids: DataFrame, links: list[DataFrame]) -> DataFrame:
+    """``ids`` (column id and more) with class: the smallest id that the links connect it with."""
+    roots = connected(reduce(DataFrame.unionByName, links)).select(F.col("node").alias("id"), F.col("root").alias("class"))
+    return ids.drop("class").join(roots, "id", "left").withColumn("class", F.coalesce("class", "id"))
+
+
+def similar_classes(docs: DataFrame, words: int = 5, least: float = 0.8, tables: int = 13, bits: int = 28, batch: int = 5, short: int = 48, block: int = 128) -> DataFrame:
     """id, class_id for documents (id long, text) whose sets of word shingles are similar by at least ``least`` (Jaccard).
 
-    At that similarity a fingerprint differs in more bits than a ball of small radius holds, so ``tables`` fingerprints
-    of ``bits`` bits are drawn and each is ball-hashed within two bits, as above. Texts equal but for case and white
-    space are joined first; distinct fingerprints alone are spread; a candidate pair is refused when its marks differ
-    in far more bits than the similarity allows, and then accepted by its exact shingle sets. A pair at 0.8 meets in
-    some table with a chance of about 0.91, at 0.85 of 0.98, at 0.9 of 0.999 (see README). ids must be distinct.
+    ids must be distinct; the class id is the smallest id of those connected. Null and wordless texts are one class.
+
+    1. Texts equal but for case and white space are one from here on.
+    2. Of each text, ``tables`` fingerprints of ``bits`` bits are drawn. In the first three tables, texts of one fingerprint
+       are verified against the smallest of them. This joins large groups of near copies with few pairs.
+    3. Table by table, each fingerprint and class is spread over its radius-1 ball, so that those within two bits meet; so
+       do texts of up to ``short`` shingles under the rarest of their shingles, which misses none. All members of different
+       classes that meet are compared by 64 other bits of their sketches, then by their exact sets. The first three tables
+       go together, and ``batch`` of the others, so that one batch's shuffle is on disk at a time.
+
+    A pair of long texts at 0.8 meets in some table with a chance of 0.92, at 0.85 of 0.99, at 0.9 of 0.9996 (README).
     """
-    made = materialise(docs.select("id", "text").mapInArrow(_sketches(words, tables, bits), "id long, folded binary, mark binary, bases array<long>"), "sketches")
-    firsts = made.groupBy("folded").agg(F.min("id").alias("first"))
-    same = made.select("id", "folded").join(firsts, "folded").where("id > first").select(F.col("id").alias("u"), F.col("first").alias("v"))
-    lead = made.join(firsts, made["id"] == firsts["first"], "left_semi")
-    bases = lead.select("id", F.explode("bases").alias("base"))
-    heads = bases.groupBy("base").agg(F.min("id").alias("head"))
-    within = bases.join(heads, "base").where("id > head").select(F.col("id").alias("u"), F.col("head").alias("v"))
+    step = Scratch(docs.sparkSession)
+    docs = docs.select("id", "text")
+    made = step.keep(docs.mapInArrow(_sketches(words, least, tables, bits, short), _MADE), "sketches")
+    firsts = step.keep(made.groupBy("folded").agg(F.min("id").alias("first")), "firsts")
+    leads = made.join(firsts.select(F.col("first").alias("id")), "id", "left_semi").select("id", "checks", "bases", "shingles")
+
+    early = leads.select("id", F.explode(F.slice("bases", 1, 3)).alias("base"))
+    heads = step.keep(early.groupBy("base").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1"), "heads")
+    pairs = early.join(heads, "base").where("id > head").select(F.col("id").alias("u"), F.col("head").alias("v")).distinct()
+    found = [_verified(docs, pairs, words, least, "early", step)]
+    units = step.keep(_classed(leads, found), "units")
+
+    share = np.arccos(2 * least / (1 + least)) / np.pi  # of the bits, expected to differ at the least similarity
+    apart = int(64 * share + 3.5 * (64 * share * (1 - share)) ** 0.5)
+    alike = lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= apart
     base = F.col("base")
     ball = F.array(base, *[base.bitwiseXOR(F.lit(1 << b).cast("long")) for b in range(bits)])
-    # a value's group has at most bits + 1 members, all distinct fingerprints of one table
-    by_value = Window.partitionBy("value")
-    met = heads.select("head", F.explode(ball).alias("value")).withColumns({"low": F.min("head").over(by_value), "last": F.lag("head").over(by_value.orderBy("head"))})
-    across = met.select(F.col("head").alias("u"), F.explode(F.array("low", "last")).alias("v")).where("v < u")
-    pairs = within.unionByName(across).distinct()
-    marks = lead.select("id", "mark")
-    pairs = pairs.join(marks.toDF("u", "mark_u"), "u").join(marks.toDF("v", "mark_v"), "v").withColumn("apart", _apart())
-    share = np.arccos(2 * least / (1 + least)) / np.pi  # of the bits, expected to differ at the least similarity
-    limit = tables * bits * share + 3.5 * (tables * bits * share * (1 - share)) ** 0.5
-    pairs = materialise(pairs.where(F.col("apart") <= int(limit)).select("u", "v"), "candidates")
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
-    sets = materialise(docs.select("id", "text").join(wanted, "id", "left_semi").mapInArrow(_sets(words), "id long, shingles binary"), "shingles")
-    full = pairs.join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v").select("u", "v", "a", "b")
-    links = full.mapInArrow(_agree(least), "u long, v long").unionByName(same)
-    roots = connected(links)
-    return docs.select("id").join(roots.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("root", "id").alias("class_id"))
+    for at in [0, *range(3, tables, batch)]:
+        mark = F.get("checks", F.lit(1 if at == 0 else 0)).alias("mark")  # bits of another table
+        rows = units.select("id", "class", mark, F.explode(F.slice("bases", at + 1, batch if at else 3)).alias("base"))
+        # of one class under one fingerprint, one goes on: another in another table
+        chosen = F.min_by(F.struct("id", "mark"), F.xxhash64("id", "base")).alias("s")
+        rows = rows.groupBy("base", "class").agg(chosen).select(F.explode(ball).alias("value"), "s.id", "class", "s.mark")
+        found.append(_verified(docs, _met(rows, alike, block, f"table{at}", step), words, least, f"table{at}", step))
+        step.drop(f"table{at}-met")
+        if at == 0:
+            units = step.keep(_classed(units, found), "classed")
+    sized = lambda x, y: F.least(x, y) >= F.greatest(x, y) * least - 1e-9
+    found.append(_verified(docs, _met(_prefixes(units, least, step), sized, block, "short", step), words, least, "short", step))
+    step.drop("short-met", "common", "units", "classed", "heads")
+
+    classes = _classed(firsts.select("folded", F.col("first").alias("id")), found).select("folded", F.col("class").alias("class_id"))
+    return made.select("id", "folded").join(classes, "folded").select("id", "class_id")
 
 
 def one_of_each(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFrame:
     """The rows of ``docs`` without those that are near duplicates of a document of smaller id (directly or over others).
 
-    Of rows that share an id one is kept, the smallest by text; rows without an id stay. Columns stay as they are.
+    A null doc_id counts as larger than all; rows of one id are compared by their texts like any other, equal ones by
+    text. Of rows equal in id and text one is kept. Null, empty and wordless texts are duplicates of each other. All
+    columns stay as they are, whatever their names; an empty table stays empty.
     """
-    named = docs.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.min("text").alias("text"), F.count(F.lit(1)).alias("_n"))
-    twice = named.where("_n > 1").select(F.col("id").alias("doc_id"), F.col("text").alias("_least"))
-    classes = similar_classes(docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), "text") if twice.isEmpty() else named.select("id", "text"), words, least)
-    gone = classes.where("class_id < id").select(F.col("id").alias("doc_id"))
-    rest = docs.join(gone, "doc_id", "left_anti")
-    if not twice.isEmpty():
-        rest = rest.join(twice, "doc_id", "left").where(F.col("_least").isNull() | (F.col("text") == F.col("_least"))).drop("_least")
-        again = Window.partitionBy("doc_id").orderBy(F.lit(1))
-        rest = rest.withColumn("_n", F.when(F.col("doc_id").isNull(), 1).otherwise(F.row_number().over(again))).where("_n = 1").drop("_n")
-    return rest.select(*docs.columns)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(whole, F.col("doc_id").cast("long").alias("id"), "text")
+    odd = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or id is null")
+    if odd.isEmpty():
+        classes = similar_classes(rows.select("id", "text"), words, least)
+        return rows.join(classes.where("class_id < id").select("id"), "id", "left_anti").select("row.*")
+    rows = rows.groupBy(F.xxhash64("id", "text").alias("key")).agg(F.first("id").alias("doc"), F.first("text").alias("text"), F.first("row").alias("row"))
+    classes = similar_classes(rows.select(F.col("key").alias("id"), "text"), words, least).withColumnRenamed("id", "key")
+    # the smallest of each class by id, nulls last, then text
+    order = F.struct(F.col("doc").isNull(), "doc", F.col("text").isNull(), F.sha2("text", 256), "key")
+    kept = rows.join(classes, "key").groupBy("class_id").agg(F.min_by("key", order).alias("key"))
+    return rows.join(kept.select("key"), "key", "left_semi").select("row.*")

@@ -60,6 +60,27 @@ def test_substring_dedup(spark):
     assert substring_dedup.dedup_substrings(docs(spark, *rows).limit(0)).count() == 0
 
 
+def test_substring_dedup_many_null_ids(spark):
+    rows = corpus(11, 30)
+    rows += [(None, t) for _, t in rows[:20]] * 3 + [(None, "w1 w2 " * 30), (None, None), (None, "")]
+    got = substring_dedup.dedup_substrings(docs(spark, *rows), chunk=4).select("doc_id", "n_words", "n_removed", "kept_text")
+    want = brute_dedup([(substring_dedup.LAST if i is None else i, t) for i, t in rows])
+    assert sorted((substring_dedup.LAST if r[0] is None else r[0], *r[1:]) for r in got.collect()) == want
+
+
+def test_substring_dedup_survives_hash_collisions(spark):
+    rows = corpus(12, 40)
+    got = substring_dedup.dedup_substrings(docs(spark, *rows), bits=8).select("doc_id", "n_words", "n_removed", "kept_text")
+    assert sorted(map(tuple, got.collect())) == brute_dedup(rows)
+
+
+def test_paths_end_at_branches(spark):
+    """Edges 1-2-3-4 in a row at the source; edge 9 enters the node between 2 and 3, so the path is cut there."""
+    rows = [(1, 10, 11, 5, 0), (2, 11, 12, 5, 1), (3, 12, 13, 5, 2), (4, 13, 14, 5, 3), (9, 70, 12, 6, 8)]
+    table = spark.createDataFrame(rows, "h long, head long, tail long, k0 long, p0 long").withColumn("tag0", F.lit(""))
+    assert sorted((r["h"], r["k0"], r["path"]) for r in substring_dedup._paths(table).collect()) == [(1, 5, 0), (2, 5, 0), (3, 5, 2), (4, 5, 2), (9, 6, 8)]
+
+
 def brute_fingerprint(text):
     import xxhash
 
@@ -111,10 +132,62 @@ def test_one_of_each(spark):
     rows = [(1, " ".join(text)), (2, " ".join(near)), (3, other), (4, other.upper()), (5, ""), (6, None), (7, " "), (8, "short one"), (9, "short two"), (None, other), (3, other)]
     got = simhash.one_of_each(docs(spark, *rows))
     assert got.columns == SCHEMA.replace(" long", "").replace(" string", "").split(", ")
-    assert sorted((r["doc_id"] for r in got.collect()), key=repr) == sorted([1, 3, 5, 8, 9, None], key=repr)
+    assert sorted(r["doc_id"] for r in got.collect()) == [1, 3, 5, 8, 9]
     assert simhash.one_of_each(docs(spark, *rows).limit(0)).count() == 0
 
 
+def brute_classes(rows, least=0.8, words=5):
+    """Smallest id of those connected by pairs of shingle sets that are similar enough; and the pairs."""
+    sets = {}
+    for i, t in rows:
+        w = t.lower().split()
+        sets[i] = frozenset(" ".join(w[j : j + words]) for j in range(max(1, len(w) - words + 1)))
+    root, pairs, ids = {i: i for i in sets}, [], sorted(sets)
+    for a in ids:
+        for b in ids:
+            if a < b and min(len(sets[a]), len(sets[b])) >= least * max(len(sets[a]), len(sets[b])):
+                both = len(sets[a] & sets[b])
+                if both >= least * (len(sets[a]) + len(sets[b]) - both):
+                    pairs.append((a, b))
+    for a, b in pairs * 6:
+        root[a] = root[b] = min(root[a], root[b])
+    return root, pairs
+
+
+def test_recall_of_similar_classes(spark):
+    """Pairs from 0.8 upwards, alone, within a crowd that shares a template, and as short texts, against brute force."""
+    rng, rows = random.Random(5), []
+    word = lambda: f"v{rng.randrange(10**6)}"
+
+    def edited(w, n):
+        w = list(w)
+        for j in rng.sample(range(0, len(w) - 1, 7), n):
+            w[j] = word()
+        return w
+
+    for n, size in [(1, 45), (2, 100), (2, 100), (4, 210), (5, 210), (1, 60), (2, 130), (3, 200)]:
+        for _ in range(25):
+            base = [word() for _ in range(size)]
+            rows += [base, edited(base, n)]
+    template = [word() for _ in range(240)]
+    crowd = [edited(template, 6) for _ in range(250)]  # mutual similarity of 0.6 to 0.7
+    rows += crowd + [edited(w, 2) for w in crowd[:60]]
+    for size in (8, 9, 12, 20):  # one shingle more or less
+        for _ in range(25):
+            base = [word() for _ in range(size)]
+            rows += [base, [*base, word()]]
+    rows = [(i, " ".join(w)) for i, w in enumerate(rows)]
+    want, pairs = brute_classes(rows)
+    got = {r["id"]: r["class_id"] for r in simhash.similar_classes(spark.createDataFrame(rows, "id long, text string"), block=16).collect()}
+    assert len(pairs) > 250
+    assert sum(got[a] == got[b] for a, b in pairs) >= 0.95 * len(pairs)
+    short = [(a, b) for a, b in pairs if len(rows[a][1].split()) <= 50]
+    assert short and all(got[a] == got[b] for a, b in short)
+    crowded = [(a, b) for a, b in pairs if 400 <= a < 710]
+    assert len(crowded) >= 60 and sum(got[a] == got[b] for a, b in crowded) >= 0.95 * len(crowded)
+    assert all(want[i] == want[c] for i, c in got.items())  # nothing dissimilar is joined
+
+
 def test_tokens_equal_the_tokenizer():
     from tokenizers import Tokenizer
 
