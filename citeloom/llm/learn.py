@@ -12,18 +12,18 @@ def bucket(doc_id: str | Column, buckets: int) -> Column:
     return F.crc32((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string").cast("binary")) % buckets
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, buckets: int, held: int, rows: int) -> list[tuple[str, object]]:
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, buckets: int, held: int, rows: int, longest: int = 1 << 18) -> list[tuple[str, object]]:
     """At most ``rows`` (text, label) pairs of documents outside bucket ``held``, in an order that only the ids decide.
 
-    ``rows`` bounds what is broadcast and what the driver gets. Null ids, texts and labels are left out.
+    ``rows`` bounds what is broadcast; with ``longest``, the most bytes of a sampled text, it bounds what the driver gets.
+    Of rows that share an id the smallest text and label stand. Null ids, texts and labels are left out.
     """
     some = labels.select(F.col("doc_id").cast("long"), F.col(label).alias("label")).dropna().where(bucket("doc_id", buckets) != held)
-    some = some.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(rows)
-    texts = docs.select(F.col("doc_id").cast("long"), "text").dropna()
-    # the hint holds for `rows` rows of two numbers
-    found = texts.join(F.broadcast(some), "doc_id").select("doc_id", "text", "label").toArrow().to_pylist()
-    found.sort(key=lambda r: (r["doc_id"], str(r["label"]), r["text"]))
-    return [(r["text"], r["label"]) for r in found[:rows]]
+    some = some.groupBy("doc_id").agg(F.min("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    texts = docs.select(F.col("doc_id").cast("long"), "text").dropna().where(F.octet_length("text") <= longest)
+    # the hint holds for `rows` rows of two numbers; one text an id, so no more than `rows` texts leave the executors
+    found = texts.join(F.broadcast(some), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
+    return [(r["text"], r["label"]) for r in sorted(found.toArrow().to_pylist(), key=lambda r: r["doc_id"])]
 
 
 class Adam:

@@ -76,6 +76,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return _written(df, name)[0]
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, with as many underscores after it as make it no column of ``docs``."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def small_batches(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 1 << 21) -> Iterator[pa.RecordBatch]:
     """Slices of at most ``limit`` bytes of ``column`` (or one row, if that is longer)."""
     for batch in batches:

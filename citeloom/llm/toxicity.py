@@ -16,9 +16,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from citeloom.llm.learn import Adam, bucket, labelled_sample, sigmoid
-from citeloom.llm.textops import small_batches
+from citeloom.llm.textops import small_batches, unused
 
 BUCKETS, HELD = 5, 0
 PREFIXES = (4, 5, 6, 7)
@@ -67,10 +68,11 @@ def fit(sample: list[tuple[str, int]], bits: int = 22, most_terms: int = 800, fa
 
     Without both labels in the sample the score is the labels' mean, or 0.5 for an empty sample.
     """
-    docs, first = [], {}
+    docs, seen_before = [], set()
     for text, label in sample:
         terms = sorted({t for w in words_of(text) for t in terms_of(w, bits)})
-        if first.setdefault(tuple(terms[:6]), len(docs)) == len(docs):  # a copy would count its terms' chance company again
+        if (copy := (tuple(terms), label)) not in seen_before:  # a copy would count its terms' chance company again
+            seen_before.add(copy)
             docs.append((terms, label))
     y = np.array([label for _, label in docs], float)
     docs = [terms for terms, _ in docs]
@@ -115,20 +117,28 @@ def fit_on(docs: DataFrame, labels: DataFrame, rows: int = 6000) -> Factorizatio
     return fit(labelled_sample(docs, labels, "toxic", BUCKETS, HELD, rows))
 
 
-def _scores(model) -> Callable:
+def _scores(model, name: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine, cache = model.value, {}
         for b in small_batches(batches):
             found = [machine.score(machine.rows(t, cache)) for t in b.column(b.schema.get_field_index("text")).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.float64())], [*b.schema.names, "_score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.float64())], [*b.schema.names, name])
 
     return run
 
 
-def scored(docs: DataFrame, model: FactorizationMachine) -> DataFrame:
-    """The rows of ``docs`` with a column _score, 0 to 1; a null or empty text has no terms and gets the bias alone."""
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(_scores(docs.sparkSession.sparkContext.broadcast(model)), f"{kinds}, _score double")
+def scored(docs: DataFrame, model: FactorizationMachine, name: str = "_score") -> DataFrame:
+    """The rows of ``docs`` with a column ``name``, 0 to 1; a null or empty text has no terms and gets the bias alone.
+
+    ``docs`` must have no column of that name; ``clean`` takes any columns.
+    """
+    return docs.mapInArrow(_scores(docs.sparkSession.sparkContext.broadcast(model), name), StructType([*docs.schema, StructField(name, DoubleType())]))
+
+
+def clean(docs: DataFrame, model: FactorizationMachine, cut: float = 0.5) -> DataFrame:
+    """The rows and columns of ``docs`` that score below ``cut``. Null and empty texts get the bias alone, equal texts the same score."""
+    name = unused(docs, "score")
+    return scored(docs, model, name).where(F.col(name) < cut).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, rows: int = 6000) -> DataFrame:

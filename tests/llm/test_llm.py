@@ -272,13 +272,13 @@ def test_decontamination(spark):
     bench = [(11, " ".join(item)), (2, "Tiny Item"), (3, "É solo"), (4, ""), (5, None), (None, "w1 w2"), (2, "Tiny Item"), (7, "42")]
     rows = corpus(9, 15) + [(i, " ".join(rng.choices(["é", "x", "É"], k=30)) + " " + ", ".join(item[i % 20 : i % 20 + 10 + i % 3]).lower() + "! tiny-ITEM É  solo") for i in range(500, 512)] + [(520, "the 42."), (521, "B1 B2")]
     table = spark.createDataFrame(bench, "item_id long, text string")
-    for block in (200_000, 8):
-        hits = decontaminate.find_hits(docs(spark, *rows).select("doc_id", "text"), table, block=block)
-        assert {r["doc_id"] for r in hits.where("size(_hits) > 0").collect()} == {r[0] for r in brute_windows(rows, bench) if r[-1]}
+    clash = docs(spark, *rows).withColumns({"_words": F.lit("a"), "_hits": F.lit("b"), "_one": F.lit("c"), "row": F.lit("d")})
+    got = sorted((tuple(r) for r in decontaminate.report(clash, table, block=4).collect()), key=repr)  # several tables, in passes
+    assert got == brute_windows(rows, bench)
     got = sorted((tuple(r) for r in decontaminate.report(docs(spark, *rows), table).collect()), key=repr)
     assert got == brute_windows(rows, bench)
-    clean = decontaminate.without_spans(docs(spark, *rows), table)
-    assert len(clean.columns) == 9
+    clean = decontaminate.without_spans(clash, table)
+    assert clean.columns == clash.columns and clean.first()["_hits"] == "b"
     texts = {r["doc_id"]: r["text"] for r in clean.collect()}
     assert texts[520] == "the " and texts[903] is None and texts[904] == "" and texts[521] == "B1 B2"
     assert decontaminate.report(docs(spark, *rows), table.limit(0)).where("contaminated").count() == 0
@@ -354,6 +354,35 @@ def test_toxicity():
     assert toxicity.fit([]).score([]) == 0.5 and toxicity.fit([("a", 1)]).score([]) > 0.5
 
 
+def test_toxicity_on_tables(spark):
+    """The Spark path: held-out rows, nulls, empties, repeats, clashing columns, empty tables; brute force by the machine itself."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(f"n{rng.randrange(300)}" for _ in range(20)) + (" insult group" if i % 3 == 0 else "")) for i in range(600)]
+    odd = [(700, None), (701, ""), (0, rows[0][1]), (None, "insult group"), (702, "insult group " * 5000)]
+    table = docs(spark, *rows, *odd).withColumns({"_score": F.lit("x"), "score": F.lit("y"), "held_out": F.lit("z")})
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(600)] + [(None, 1, 1), (0, 0, 1), (5, None, None)], "doc_id long, quality int, toxic int")
+    out = toxicity.toxicity(table, labels).collect()
+    assert len(out) == 605 and out[0].asDict().keys() == {"doc_id", "held_out", "score", "predicted"}
+    held = [r for r in out if r["held_out"] and r["doc_id"] < 600]
+    assert np.mean([r["predicted"] == int(r["doc_id"] % 3 == 0) for r in held]) > 0.95
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in out if r["doc_id"] is not None)
+    model = toxicity.fit_on(table, labels)
+    texts = dict(rows + odd)
+    assert all(abs(r["score"] - model.score(model.rows(texts[r["doc_id"]], {}))) < 1e-12 for r in out)
+    kept = toxicity.clean(table, model)
+    assert kept.columns == table.columns and {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in out if r["predicted"] == 0}
+    assert toxicity.toxicity(table.limit(0), labels).count() == 0
+    assert {r["score"] for r in toxicity.toxicity(table, labels.limit(0)).collect()} == {0.5}
+
+
+def test_sample_is_bounded(spark):
+    from citeloom.llm.learn import labelled_sample
+
+    many = spark.createDataFrame([(1, f"t{i}") for i in range(900)] + [(2, "b"), (3, "x" * 300)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0)] * 100 + [(2, 1), (3, 1)], "doc_id long, toxic int")
+    assert labelled_sample(many, labels, "toxic", 10_007, -1, 100, longest=200) == [("t0", 0), ("b", 1)]
+
+
 def test_quality(spark):
     rng = np.random.default_rng(0)
     first = np.array([0, 3, 3, 4, 8])
