@@ -288,7 +288,11 @@ def test_decontamination(spark):
 def test_privacy(spark):
     text = "Mr. John Smith met Mrs Anna Keller; Herr Keller, John Smith. +1 (017) 555-7713 or +1 017 555 7713, 4111 1111 1111 1111, 4111111111111111. 10.0.0.7 x.y1@mail.example.com X.Y1@MAIL.EXAMPLE.COM Иван Петров token = \"0123456789abcdef0123456789abcdef\""
     rows = [(1, text), (2, text), (3, None), (4, ""), (5, "nothing here 1990-2020, v1.2, 9807915762804490, 999.1.1.1, 1234567812345678"), (6, "mail b@c.de")]
-    got = {r["doc_id"]: r for r in privacy.pseudonymise(docs(spark, *rows), "key").collect()}
+    clash = docs(spark, *rows).withColumns({c: F.lit("own") for c in ("_found", "_new", "found", "known", "row", "pattern", "_entities")})
+    changed = privacy.pseudonymise(clash, "key", "_entities")
+    assert sorted(changed.columns) == sorted(clash.columns)
+    got = {r["doc_id"]: r for r in changed.collect()}
+    assert all(r["_found"] == r["found"] == r["known"] == "own" for r in got.values())
     assert got[1]["text"] == got[2]["text"] and [got[i]["text"] for i in (3, 4, 5)] == [None, "", rows[4][1]] and got[5]["_entities"] == 0
     new = got[1]["text"]
     for secret in ("Smith", "Anna", "Keller", "555-7713", "4111", "10.0.0.7", "x.y1@", "Иван", "0123456789abcdef"):
@@ -308,6 +312,27 @@ def test_privacy(spark):
     assert privacy.pseudonymise(docs(spark, *rows).limit(0), "key").count() == 0
 
 
+def test_bare_mentions_follow_their_person(spark):
+    text = "John Smith wrote it. Later Smith called John. Dr. Keller and Yuki Tanaka met; Tanaka left Keller's house with Mr. Alex Bauer. Alex stayed."
+    rows = [(1, text), (2, "Smith is a word of its own here, and so is Keller."), (3, "hash deadbeefcafebabefacefeeddeadbeef"), (4, "x" * 90 + "@mail.example.com and " + "q" * 60 + "@mail.example.com")]
+    got = {r["doc_id"]: r["text"] for r in privacy.pseudonymise(docs(spark, *rows), "key").collect()}
+    new = got[1]
+    for word in "John Smith Keller Yuki Tanaka Alex Bauer".split():
+        assert not re.search(rf"\b{word}\b", new)
+    m = re.fullmatch(r"(\w+) (\w+) wrote it. Later (\w+) called (\w+). Dr. (\w+) and (\w+) (\w+) met; (\w+) left (\w+)'s house with Mr. (\w+) (\w+). (\w+) stayed.", new)
+    assert m and m[1] == m[4] and m[2] == m[3] and m[5] == m[9] and m[7] == m[8] and m[10] == m[12]
+    assert got[2] == rows[1][1] and "deadbeef" not in got[3] and len(got[3]) == len(rows[2][1])
+    local = got[4].split(" and ")[1].split("@")[0]
+    assert len(set(local[i : i + 20] for i in range(0, 60, 20))) == 3  # draws do not recur
+
+
+def test_surrogates_are_keyed_by_hmac(spark):
+    import hmac
+
+    got = spark.range(1).select(privacy._mac("secret", F.lit("message")), privacy._mac("k" * 100, F.lit("m"))).first()
+    assert tuple(got) == (hmac.new(b"secret", b"message", "sha256").hexdigest(), hmac.new(b"k" * 100, b"m", "sha256").hexdigest())
+
+
 def test_surrogates_stay_distinct(spark):
     """Addresses so short that draws must collide: the attempts part them."""
     many = docs(spark, *[(i, f"{c}@{d}.de") for i, (c, d) in enumerate((c, d) for c in "abcdefghij" for d in "abcde")])
