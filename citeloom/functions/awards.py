@@ -27,16 +27,17 @@ def _part(x: Column, pattern: str, group: int) -> Column:
 def nih(text: Column) -> Column:
     """[type][activity]INSTITUTE SERIAL[-year][suffixes]; null without an institute's two letters and six digits.
 
-    Spaces and dashes within are ignored, and the letter O in an activity code such as RO1 is read as a zero.
+    Spaces and dashes are ignored. Before the institute, the funder's name is dropped and RO1 read as R01; after the serial
+    number, two characters that are no year are suffixes.
     """
-    x = F.regexp_replace(F.upper(text), r"[^0-9A-Z]", "")
-    core = r"^(.*?)([A-Z]{2})(\d{6})(.*)$"
-    head = F.regexp_replace(F.regexp_extract(x, core, 1), r"([A-Z])O(\d)$", "$10$2")
+    x = F.trim(F.regexp_replace(F.upper(text), "[ -]", ""))
+    core = r"(?s)^(.*?)([A-Z]{2})(\d{6})(.*)$"
+    head = F.replace(F.replace(F.regexp_extract(x, core, 1), F.lit("RO1"), F.lit("R01")), F.lit("NIH"), F.lit(""))
     tail = F.regexp_extract(x, core, 4)
     kind = F.when(head.rlike(r"^[1-9]$"), head).otherwise(_part(head, r"^([1-9])([0-9A-Z]{3})$", 1))
     activity = F.when(head.rlike(r"^[0-9A-Z]{3}$"), head).otherwise(_part(head, r"^([1-9])([0-9A-Z]{3})$", 2))
     year = F.when(tail.rlike(r"^\d{2}$"), tail).otherwise(_part(tail, r"^(\d{2})([0-9A-Z]{2,4})$", 1))
-    other = _part(tail, r"^(\d{2})([0-9A-Z]{2,4})$", 2)
+    other = F.when((F.length(tail) == 2) & year.isNull(), tail).otherwise(_part(tail, r"^(\d{2})([0-9A-Z]{2,4})$", 2))
     return F.when(x.rlike(core), _award(funder=F.lit(NIH), text=text, application_type=kind, activity_code=activity, institute_code=F.regexp_extract(x, core, 2), serial_number=F.regexp_extract(x, core, 3), support_year=year, other_suffixes=other))
 
 

@@ -1,11 +1,9 @@
-"""Markup, inverted indexes and personal names. Markup and names are Arrow-batched; the inverted index is native."""
+"""Markup, inverted indexes and personal names. Names are Arrow-batched; the others are native."""
 
 from __future__ import annotations
 
-import json
 import re
 import unicodedata
-from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column
@@ -25,66 +23,31 @@ MISSING_ABSTRACT = [
 MISSING_DEPOSIT_ABSTRACT = [":unav", "Cover title."]
 
 
-class _Text(HTMLParser):
-    """Collects what stands outside tags, comments and declarations; character references stay as written."""
+#: What strip_markup takes out: comments, and from a < that no white space follows to its > or the end of the text; a >
+#: in quotes ends no tag. Character references stay as they are.
+_QUOTED = r"""\"[^\"]*+(?:\"|\z)|'[^']*+(?:'|\z)"""
+TAG = rf"""(?s)<!--.*?(?:-->|\z)|<(?:>|\z|(?:{_QUOTED}|[^\s'\">])(?:{_QUOTED}|[^'\">]++)*+(?:>|\z))"""
 
-    def __init__(self):
-        super().__init__(convert_charrefs=False)
-        self.parts: list[str] = []
 
-    def handle_data(self, data):
-        self.parts.append(data)
-
-    def handle_entityref(self, name):
-        self.parts.append(f"&{name};")
-
-    def handle_charref(self, name):
-        self.parts.append(f"&#{name};")
-
-
-def plain_text(markup: str) -> str:
-    if "<" not in markup:
-        return markup
-    parser = _Text()
-    parser.feed(markup)
-    parser.close()
-    return "".join(parser.parts)
-
-
-@F.pandas_udf(T.StringType())
-def _plain(x: pd.Series) -> pd.Series:
-    return x.map(plain_text, na_action="ignore")
+def without_tags(c: str | Column) -> Column:
+    x = col(c)
+    return F.when(x.contains("<"), F.regexp_replace(x, TAG, "")).otherwise(x)
 
 
 def strip_markup(c: str | Column, missing: list[str] | None = None) -> Column:
-    """Text without tags, stripped; null if empty or exactly one of ``missing``. Tag-free texts stay in the JVM."""
-    x = stripped(F.when(col(c).contains("<"), _plain(col(c))).otherwise(col(c)))
+    """Text without tags, stripped; null if empty or exactly one of ``missing``."""
+    x = stripped(without_tags(c))
     return F.when(~x.isin(missing), x) if missing else x
 
 
-@F.pandas_udf(T.StringType())
-def _reverted(x: pd.Series) -> pd.Series:
-    def one(text: str) -> str | None:
-        try:
-            placed = sorted((p, w) for w, ps in json.loads(text).items() for p in ps)
-        except (ValueError, TypeError, AttributeError):
-            return None
-        return plain_text(" ".join(dict(placed).values()))
-
-    return x.map(one, na_action="ignore")
-
-
 def revert_inverted_index(c: str | Column, missing: list[str] | None = None) -> Column:
-    """Text of a JSON object word -> positions. Two words at one place: the greater stays; gaps are skipped; bad JSON: null.
-
-    Only indexes that hold markup leave the JVM.
-    """
+    """Text of a JSON object word -> positions. Two words at one place: the greater stays; gaps are skipped; bad JSON: null. Tags are taken out."""
     words = F.from_json(col(c), "map<string,array<int>>")
     placed = F.flatten(F.transform(F.map_entries(words), lambda e: F.transform(F.array_distinct(e["value"]), lambda p: F.struct(p.alias("p"), e["key"].alias("w")))))
     # of equal positions the last in order has the greatest word; as a lambda's variable the sorted array is made once a row
     last = lambda o: F.filter(o, lambda x, i: F.get(o, i + 1).isNull() | (F.get(o, i + 1)["p"] != x["p"]))
     plain = F.get(F.transform(F.array(F.array_sort(placed)), lambda o: F.array_join(F.transform(last(o), lambda x: x["w"]), " ")), 0)
-    x = stripped(F.when(col(c).contains("<"), _reverted(col(c))).otherwise(plain))
+    x = stripped(without_tags(plain))
     return F.when(~x.isin(missing), x) if missing else x
 
 

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from citeloom.functions import awards as A
 from citeloom.functions import identifiers as I
 from citeloom.functions import text as X
 from citeloom.matching import ranking, signals
@@ -32,7 +33,7 @@ def query(sql: str | None = None):
     return add
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str | Column) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*columns) if columns else df
 
@@ -68,22 +69,27 @@ def anti_join_exclude(spark, d):
     return table(spark, d, "documents", "doc_id", "lang").join(table(spark, d, "labels", "doc_id"), "doc_id", "left_anti")
 
 
-_DUP = """SELECT doc_id AS id, md5(left(text, 40)) AS doi, length(text) AS title_length,
-count(*) OVER (PARTITION BY md5(left(text, 40))) > 1 AS is_duplicate FROM documents"""
+def _shared_key() -> Column:
+    """A key that several documents share: source, language and size."""
+    return F.md5(F.concat_ws("/", "source", "lang", F.expr("n_chars div 100").cast("string")))
+
+
+_DUP = """SELECT doc_id AS id, md5(concat_ws('/', source, lang, n_chars // 100)) AS doi, length(text) AS title_length,
+count(*) OVER (PARTITION BY md5(concat_ws('/', source, lang, n_chars // 100))) > 1 AS is_duplicate FROM documents"""
 
 
 def _copies(spark, d) -> DataFrame:
-    rows = table(spark, d, "documents", "doc_id", "text").select(F.col("doc_id").alias("id"), F.md5(F.substring("text", 1, 40)).alias("doi"), F.length("text").cast("long").alias("title_length"))
+    rows = table(spark, d, "documents").select(F.col("doc_id").alias("id"), _shared_key().alias("doi"), F.length("text").cast("long").alias("title_length"))
     return keys.with_counts(rows, "doi", "n").withColumn("is_duplicate", F.col("n") > 1).drop("n")
 
 
 def _others(spark, d) -> DataFrame:
     """Every other text as a second source."""
-    rows = table(spark, d, "documents", "doc_id", "text", "lang").where("lang = 'en'")
-    return rows.groupBy(F.md5(F.substring("text", 1, 40)).alias("doi")).agg(F.max(F.length("text")).cast("long").alias("title_length"), F.min("text").alias("title"))
+    rows = table(spark, d, "documents").where("lang = 'en'")
+    return rows.groupBy(_shared_key().alias("doi")).agg(F.max(F.length("text")).cast("long").alias("title_length"), F.min("text").alias("title"))
 
 
-_OTHER = "SELECT md5(left(text, 40)) AS doi, max(length(text)) AS title_length, min(text) AS title FROM documents WHERE lang = 'en' GROUP BY 1"
+_OTHER = "SELECT md5(concat_ws('/', source, lang, n_chars // 100)) AS doi, max(length(text)) AS title_length, min(text) AS title FROM documents WHERE lang = 'en' GROUP BY 1"
 _STATS = f"""WITH w AS ({_DUP}), c AS ({_OTHER}), b AS (SELECT w.*, c.title_length AS other FROM w LEFT JOIN c USING (doi) WHERE w.title_length > 0 OR c.title_length > 0),
 s AS (SELECT coalesce(min(id) FILTER (WHERE title_length = m), min(id)) AS id, doi, max(title_length) AS title_length
 FROM (SELECT *, max(title_length) OVER (PARTITION BY doi) AS m FROM b WHERE is_duplicate) GROUP BY doi
@@ -156,10 +162,9 @@ def relation_degrees(spark, d):
     return relations.with_degrees(_edges(spark, d), "work_doi", "related_doi", "relation_type")
 
 
-_TYPED = f"""WITH g AS (SELECT *, relation_type IN ('A') AS w, relation_type IN ('N') AS p FROM ({_DEGREES}) WHERE out_degree <= {CAP_IN} AND in_degree <= {CAP_IN}),
-b AS (SELECT work_doi AS doi, related_doi AS o, w, p FROM g WHERE w OR p UNION ALL SELECT related_doi, work_doi, w, p FROM g WHERE w OR p),
-c AS (SELECT doi, o, bool_or(w) AS w, bool_or(p) AS p FROM b GROUP BY doi, o),
-typed AS (SELECT doi, list_sort(coalesce(array_agg(o) FILTER (WHERE w), [])) AS a, list_sort(coalesce(array_agg(o) FILTER (WHERE p), [])) AS b FROM c GROUP BY doi)"""
+_TYPED = f"""WITH near AS (SELECT unnest([work_doi, related_doi]) AS doi, unnest([related_doi, work_doi]) AS o, relation_type AS t FROM ({_DEGREES})
+WHERE greatest(out_degree, in_degree) <= {CAP_IN} AND relation_type <> 'R'),
+typed AS (SELECT doi, list_sort(list_distinct(coalesce(list(o) FILTER (t = 'A'), []))) AS a, list_sort(list_distinct(coalesce(list(o) FILTER (t = 'N'), []))) AS b FROM near GROUP BY doi)"""
 _TEXT = "array_to_string({}, ',')"
 
 
@@ -210,11 +215,11 @@ def nested_explode_index(spark, d):
     return works.ror_identifiers(table(spark, d, "region").select(F.concat(F.lit("https://reg.example/"), F.upper("r_name")).alias("id"), F.array(one(0), one(1)).alias("external_ids")))
 
 
-_HASH = "md5(concat_ws('|', o_orderkey, o_custkey, coalesce(o_orderstatus, ''), o_orderpriority))"
+_HASH = """md5('{"f0":' || o_orderkey || ',"f1":' || o_custkey || ',"f2":' || coalesce('"' || o_orderstatus || '"', 'null') || ',"f3":"' || o_orderpriority || '"}')"""
 
 
 def _hash() -> Column:
-    return F.md5(F.concat_ws("|", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), F.coalesce("o_orderstatus", F.lit("")), "o_orderpriority"))
+    return I.content_hash("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
 
 
 @query(f"SELECT o_orderkey, {_HASH} AS hash FROM orders")
@@ -225,10 +230,14 @@ def content_hash(spark, d):
 _HISTORY = f"""SELECT CAST(o_orderkey AS VARCHAR) AS doi, CASE WHEN o_orderkey % 7 = 0 THEN 'old' ELSE {_HASH} END AS hash,
 CASE WHEN o_orderkey % 11 = 0 THEN 'DELETE' ELSE 'UPSERT' END AS state, DATE '2024-01-01' + CAST(v AS INTEGER) AS updated_date FROM orders, range(3) t(v) WHERE o_orderkey % 3 <> 0"""
 _NOW = f"SELECT CAST(o_orderkey AS VARCHAR) AS doi, {_HASH} AS hash FROM orders WHERE o_orderkey % 5 <> 0"
-_DIFF = f"""WITH h AS ({_HISTORY}), w AS (SELECT DISTINCT * FROM ({_NOW})), l AS (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY doi ORDER BY updated_date DESC, state, hash) = 1),
-diff AS (SELECT w.doi, w.hash, 'UPSERT' AS state, DATE '{RELEASE}' AS updated_date FROM w LEFT JOIN l ON w.doi = l.doi WHERE l.doi IS NULL OR l.hash <> w.hash OR l.state = 'DELETE'
-UNION ALL SELECT l.doi, l.hash, 'DELETE', DATE '{RELEASE}' FROM l LEFT JOIN w ON w.doi = l.doi WHERE w.doi IS NULL AND l.state = 'UPSERT')"""
-_NEXT = "SELECT doi, hash, state, updated_date FROM (SELECT * FROM h UNION ALL SELECT * FROM diff) QUALIFY row_number() OVER (PARTITION BY doi ORDER BY updated_date DESC, state, hash) <= 2"
+# a day as a number that falls with time, so that the least struct is the latest
+_DAY = "date_diff('day', updated_date, DATE '2100-01-01')"
+_DIFF = f"""WITH past AS ({_HISTORY}), last AS (SELECT doi, min({{'day': {_DAY}, 'state': state, 'hash': hash}}) AS x FROM past GROUP BY doi),
+diff AS (SELECT coalesce(n.doi, last.doi) AS doi, coalesce(n.hash, x.hash) AS hash, CASE WHEN n.doi IS NULL THEN 'DELETE' ELSE 'UPSERT' END AS state, DATE '{RELEASE}' AS updated_date
+FROM (SELECT DISTINCT doi, hash FROM ({_NOW})) n FULL JOIN last ON n.doi = last.doi
+WHERE CASE WHEN last.doi IS NULL THEN true WHEN n.doi IS NULL THEN x.state <> 'DELETE' ELSE x.state = 'DELETE' OR x.hash <> n.hash END)"""
+_NEXT = f"""SELECT doi, x.hash AS hash, x.state AS state, CAST(DATE '2100-01-01' - CAST(x.day AS INTEGER) AS DATE) AS updated_date
+FROM (SELECT doi, unnest(list_sort(list({{'day': {_DAY}, 'state': state, 'hash': hash}}))[1:2]) AS x FROM (SELECT doi, hash, state, updated_date FROM past UNION ALL FROM diff) GROUP BY doi)"""
 
 
 def _states(spark, d) -> tuple[DataFrame, DataFrame]:
@@ -276,25 +285,18 @@ def extract_doi(spark, d):
     return table(spark, d, "pages", "page_id", "url").select("page_id", I.doi_in_sql(raw).alias("doi"))
 
 
-@query()
+@query(r"""SELECT page_id, nullif(regexp_replace(regexp_replace(html, '(?s)<!--.*?(?:-->|\z)|<(?:>|\z|(?:"[^"]*(?:"|\z)|''[^'']*(?:''|\z)|[^\s''">])(?:"[^"]*(?:"|\z)|''[^'']*(?:''|\z)|[^''">])*(?:>|\z))', '', 'g'),
+'^[\s\x0b\x{85}\p{Z}]+|[\s\x0b\x{85}\p{Z}]+\z', '', 'g'), '') AS text FROM pages""")
 def strip_markup_rows(spark, d):
     return table(spark, d, "pages", "page_id", "html").select("page_id", X.strip_markup("html").alias("text"))
 
 
-@query("SELECT doc_id, array_to_string(list_filter(str_split(text, ' '), lambda x: x <> ''), ' ') AS text FROM documents WHERE text NOT LIKE '%<%' AND text NOT LIKE '%\n%' AND length(text) < 2000")
+@query(r"""SELECT doc_id, nullif(regexp_replace(regexp_replace(array_to_string(list_filter(str_split(text, ' '), lambda x: x <> ''), ' '), '(?s)<!--.*?(?:-->|\z)|<(?:>|\z|(?:"[^"]*(?:"|\z)|''[^'']*(?:''|\z)|[^\s''">])(?:"[^"]*(?:"|\z)|''[^'']*(?:''|\z)|[^''">])*(?:>|\z))', '', 'g'),
+'^[\s\x0b\x{85}\p{Z}]+|[\s\x0b\x{85}\p{Z}]+\z', '', 'g'), '') AS text FROM documents""")
 def revert_index(spark, d):
-    docs = table(spark, d, "documents", "doc_id", "text").where("text NOT LIKE '%<%' AND text NOT LIKE '%\n%' AND length(text) < 2000")
-    words = F.filter(F.split("text", " "), lambda x: x != "")
-    placed = docs.select("doc_id", F.posexplode(words).alias("p", "w")).groupBy("doc_id", "w").agg(F.collect_list("p").alias("p"))
-    inverted = placed.groupBy("doc_id").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("w", "p")))).alias("j"))
-    return inverted.select("doc_id", X.revert_inverted_index("j").alias("text"))
-
-
-@query()
-def revert_index_whole(spark, d):
     """Every document's text by way of an inverted index (positions of its words between single spaces), markup removed.
 
-    One row per row of documents, null where nothing is left. revert_index and its twin hold the plain short texts alone.
+    One row per row of documents, null where nothing is left.
     """
     docs = table(spark, d, "documents", "doc_id", "text").withColumn("_row", F.monotonically_increasing_id())
     placed = docs.select("_row", "doc_id", F.posexplode_outer(F.split("text", " ", -1)).alias("p", "w")).withColumn("w", F.nullif("w", F.lit("")))
@@ -419,10 +421,10 @@ def zscore(spark, d):
     return ranking.normalisers(table(spark, d, "lineitem", "l_quantity", "l_tax"), ["l_quantity", "l_tax"], digits=4)
 
 
-@query("""SELECT d.doc_id, CAST(coalesce(l.quality, 0) AS VARCHAR) || ' qid:' || source || ' 1:' || CAST(n_chars AS VARCHAR) || ' 2:' || CAST(length(lang) AS VARCHAR) || ' # ' || CAST(d.doc_id AS VARCHAR) || '  ' || replace(left(text, 30), chr(10), '') AS line
+@query("""SELECT d.doc_id, CAST(coalesce(l.quality, 0) AS VARCHAR) || ' qid:' || source || ' 1:' || CAST(n_chars AS VARCHAR) || ' 2:' || CAST(length(lang) AS VARCHAR) || ' # ' || CAST(d.doc_id AS VARCHAR) || '  ' || regexp_replace(text, '\\r\\n|\\r|\\n', '', 'g') AS line
 FROM documents d LEFT JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY 1) l ON l.doc_id = d.doc_id""")
 def ranklib_rows(spark, d):
-    docs = table(spark, d, "documents").select(F.col("source").alias("dmp_doi"), F.col("doc_id").cast("string").alias("work_doi"), F.substring("text", 1, 30).alias("work_title"), "n_chars", F.length("lang").alias("n_lang"), "doc_id")
+    docs = table(spark, d, "documents").select(F.col("source").alias("dmp_doi"), F.col("doc_id").cast("string").alias("work_doi"), F.col("text").alias("work_title"), "n_chars", F.length("lang").alias("n_lang"), "doc_id")
     good = table(spark, d, "labels").where("quality = 1").select(F.col("doc_id").cast("string").alias("work_doi")).join(docs.select("work_doi", "dmp_doi"), "work_doi")
     return ranking.with_judgements(docs, good).select("doc_id", ranking.ranklib_line(["n_chars", "n_lang"]).alias("line"))
 
@@ -468,3 +470,97 @@ def dates_and_flags(spark, d):
         F.col("o_orderkey").alias("id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm'Z'").alias("minute"),
         F.add_months(F.col("o_orderdate").cast("date"), 36).cast("string").alias("until"), ((F.col("o_orderstatus") == "F") | (F.col("o_totalprice") > 100000)).alias("stale"),
     )
+
+
+@query(r"""SELECT page_id, nullif(lower(regexp_extract(r, '0[a-hj-km-np-tv-z|0-9]{6}[0-9]{2}', 0, 'i')), '') AS ror, nullif(lower(regexp_extract(o, '[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{3}[0-9x]', 0, 'i')), '') AS orcid,
+CASE WHEN page_id % 4 = 0 THEN NULL ELSE 'P' || page_id END AS listed, regexp_replace(url, '.*://[^/]+/', '') <> '' AS filled, concat('10.48321/d', page_id) AS plan_doi
+FROM (SELECT page_id, url, 'https://ror.org/0' || CASE WHEN page_id % 3 = 0 THEN 'ABC' ELSE 'u' END || lpad(CAST(page_id AS VARCHAR), 5, '7') || 'x' AS r,
+'orcid 0000-0002-1825-' || lpad(CAST(page_id % 1000 AS VARCHAR), 3, '0') || CASE WHEN page_id % 2 = 0 THEN 'X' ELSE 'y' END AS o FROM pages)""")
+def identifiers_found(spark, d):
+    """Registry and person ids in raw text, listed values nulled, any of two filled, bare plan ids prefixed."""
+    n = F.col("page_id")
+    r = F.concat(F.lit("https://ror.org/0"), F.when(n % 3 == 0, "ABC").otherwise("u"), F.lpad(n.cast("string"), 5, "7"), F.lit("x"))
+    o = F.concat(F.lit("orcid 0000-0002-1825-"), F.lpad((n % 1000).cast("string"), 3, "0"), F.when(n % 2 == 0, "X").otherwise("y"))
+    value = F.when(n % 4 == 0, " None ").otherwise(F.concat(F.lit(" P"), n.cast("string"), F.lit(" ")))
+    return table(spark, d, "pages", "page_id", "url").select(
+        "page_id", I.ror_in(r).alias("ror"), I.orcid_in(o).alias("orcid"), I.null_if_listed(value, ["none", "N/A"]).alias("listed"),
+        I.any_filled(I.without_hosts("url"), F.lit("")).alias("filled"), I.doi_with_prefix(F.concat(F.lit("D"), n.cast("string")), "10.48321").alias("plan_doi"),
+    )
+
+
+@query(r"""SELECT c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN '1' ELSE '' END || 'R01' || 'AG' || lpad(CAST(c_custkey % 1000000 AS VARCHAR), 6, '0') || CASE WHEN c_custkey % 3 = 0 THEN '-02A1' ELSE '' END AS award,
+6 * (CASE WHEN c_custkey % 3 = 0 THEN 3 ELSE 1 END) // (CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 2 END) AS spellings_least FROM customer""")
+def award_ids(spark, d):
+    """An award id of the first funder with a parser, written with noise, parsed, written canonically; at least so many spellings."""
+    n = F.col("c_custkey")
+    head = F.when(n % 2 == 0, "NIH 1 RO1 ").otherwise("r01-")
+    text = F.concat(head, F.lit("ag "), F.lpad((n % 1000000).cast("string"), 6, "0"), F.when(n % 3 == 0, " - 02a1").otherwise(""))
+    awards = A.awards_in(text, F.lit(A.NIH))
+    one = table(spark, d, "customer", "c_custkey").select("c_custkey", F.get(awards, 0).alias("a"))
+    least = F.floor(6 * F.when(n % 3 == 0, 3).otherwise(1) / F.when(n % 2 == 0, 1).otherwise(2)).cast("int")
+    return one.select(F.col("c_custkey").alias("id"), A.identifier(F.col("a")).alias("award"), F.when(F.size(A.variants(F.col("a"))) >= least, least).alias("spellings_least"))
+
+
+# Suppliers stand for plans, orders for works: a work acknowledges the awards of its lines' suppliers, is by its customer,
+# belongs to the customer's nation and is the same work as its lines' parts.
+_PLANS = "SELECT s_suppkey AS s, 's' || s_suppkey AS dmp_doi, s_nationkey AS nation, DATE '1993-01-01' + INTERVAL (s_suppkey % 5) YEAR AS begun FROM supplier"
+_WORKS = "SELECT o_orderkey AS o, 'o' || o_orderkey AS doi, o_custkey AS c, c_nationkey AS nation, CAST(o_orderdate AS DATE) AS day, o_orderstatus = 'P' AS is_plan FROM orders JOIN customer ON o_custkey = c_custkey"
+_MATCHED = f"""WITH p AS ({_PLANS}), w AS ({_WORKS}), hit AS (SELECT DISTINCT l_orderkey AS o, l_suppkey AS s FROM lineitem), same AS (SELECT DISTINCT l_orderkey AS o, l_partkey AS s FROM lineitem),
+cand AS (SELECT o, s FROM hit UNION SELECT o, s FROM same UNION SELECT o, c FROM w UNION SELECT s * 7, s FROM p),
+facts AS (SELECT p.dmp_doi, w.doi, w.o = p.s * 7 AS funded, hit.o IS NOT NULL AS award, same.o IS NOT NULL AS same, w.c = p.s AS author, w.nation = p.nation AS place
+FROM cand JOIN p ON p.s = cand.s JOIN w ON w.o = cand.o LEFT JOIN hit ON hit.o = cand.o AND hit.s = cand.s LEFT JOIN same ON same.o = cand.o AND same.s = cand.s
+WHERE NOT w.is_plan AND w.day >= p.begun AND w.day <= p.begun + INTERVAL 5 YEAR),
+scored AS (SELECT *, CAST(15 * funded::INT + 10 * award::INT + 10 * same::INT + 2 * author::INT + 2 * place::INT AS DOUBLE) AS score FROM facts),
+best AS (SELECT *, row_number() OVER (PARTITION BY dmp_doi ORDER BY score DESC, doi) AS rank FROM scored QUALIFY rank <= 50)"""
+
+
+def _plans_and_works(spark, d) -> tuple[DataFrame, DataFrame]:
+    named = lambda ror: F.array(F.struct(F.lit(None).cast("string").alias("name"), F.concat(F.lit("n"), ror.cast("string")).alias("ror")))
+    text = lambda mark, c: F.concat(F.lit(mark), F.col(c).cast("string"))
+    begun = F.make_date(F.lit(1993) + (F.col("s_suppkey") % 5).cast("int"), F.lit(1), F.lit(1))
+    none = F.array().cast("array<struct<name:string,ror:string>>")
+    plans = table(spark, d, "supplier").select(
+        text("s", "s_suppkey").alias("doi"), F.lit("").alias("title"), F.lit(None).cast("string").alias("abstract_text"), begun.alias("project_start"), F.add_months(begun, 24).alias("project_end"),
+        F.array(F.struct(text("c", "s_suppkey").alias("orcid"), F.lit(None).cast("string").alias("surname"))).alias("authors"), named(F.col("s_nationkey")).alias("institutions"), none.alias("funders"),
+        F.array(F.struct(text("A", "s_suppkey").alias("award"), F.array(text("A", "s_suppkey"), text("A ", "s_suppkey")).alias("variants"))).alias("awards"),
+        F.array(F.concat(F.lit("o"), (F.col("s_suppkey") * 7).cast("string"))).alias("funded_dois"), F.array(F.struct(text("p", "s_suppkey").alias("doi"))).alias("published_outputs"),
+    )
+    lines = table(spark, d, "lineitem", "l_orderkey", "l_suppkey", "l_partkey").groupBy(F.col("l_orderkey").alias("o_orderkey"))
+    lines = lines.agg(F.collect_set(F.struct(text("a", "l_suppkey").alias("award_id"))).alias("awards"), F.collect_set(F.struct(text("p", "l_partkey").alias("doi"))).alias("same"))
+    nations = table(spark, d, "customer", F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    empty = F.array().cast("array<struct<doi:string>>")
+    rows = table(spark, d, "orders").join(nations, "o_custkey").join(lines, "o_orderkey", "left")
+    works_ = rows.select(
+        text("o", "o_orderkey").alias("doi"), F.col("o_orderpriority").alias("title"), F.lit(None).cast("string").alias("abstract_text"),
+        F.when(F.col("o_orderstatus") == "P", "OUTPUT_MANAGEMENT_PLAN").otherwise("ARTICLE").alias("work_type"), F.col("o_orderdate").cast("date").alias("publication_date"),
+        F.array(F.struct(text("c", "o_custkey").alias("orcid"), F.lit(None).cast("string").alias("surname"), F.lit(None).cast("string").alias("full"))).alias("authors"), named(F.col("c_nationkey")).alias("institutions"),
+        none.alias("funders"), I.or_empty("awards", "struct<award_id:string>").alias("awards"),
+        F.struct(I.or_empty("same", "struct<doi:string>").alias("intra_work_dois"), empty.alias("possible_shared_project_dois"), empty.alias("dataset_citation_dois")).alias("relations"),
+    )
+    return plans, works_
+
+
+@query(f"SELECT dmp_doi, doi, score, max(score) OVER (PARTITION BY dmp_doi) AS score_max, CAST(rank AS INTEGER) AS rank FROM ({_MATCHED} SELECT * FROM best)")
+def match_plans(spark, d):
+    """signals.match over all suppliers and orders: must and should signals, period, work type, the 50 best of each plan."""
+    out = signals.match(*_plans_and_works(spark, d), signals.Weights(content=0), k=50)
+    return out.select("dmp_doi", "doi", "score", "score_max", "rank")
+
+
+@query(f"""{_MATCHED} SELECT dmp_doi, doi, funded AS doi_found, award::INT AS awards, CAST(10 * award::INT AS DOUBLE) AS award_score, place::INT AS institutions, author::INT AS authors, same::INT AS same_works FROM best""")
+def match_explained(spark, d):
+    """signals.explain of those matches: how many of a work's items met the plan, and what they score."""
+    plans, works_ = _plans_and_works(spark, d)
+    out = signals.explain(signals.match(plans, works_, signals.Weights(content=0), k=50), plans, works_)
+    best = F.coalesce(F.get("award_matches", F.lit(0))["score"], F.lit(0.0))
+    return out.select("dmp_doi", "doi", F.col("doi_match.found").alias("doi_found"), F.size("award_matches").alias("awards"), best.alias("award_score"), F.size("institution_matches").alias("institutions"), F.size("author_matches").alias("authors"), F.size("intra_work_doi_matches").alias("same_works"))
+
+
+@query(f"""SELECT m.dmp_doi, m.doi AS work_doi, o_orderpriority AS work_title, funded::BIGINT AS funded_doi_matched, award::BIGINT AS award_match_count, author::BIGINT AS author_orcid_match_count,
+place::BIGINT AS institution_ror_match_count, same::BIGINT AS intra_work_doi_count, CAST(1 AS BIGINT) AS dmp_award_count, CAST(0 AS BIGINT) AS dmp_funder_count FROM ({_MATCHED} SELECT * FROM best) m JOIN orders ON m.doi = 'o' || o_orderkey""")
+def match_features(spark, d):
+    """ranking.features of those matches."""
+    plans, works_ = _plans_and_works(spark, d)
+    found = signals.match(plans, works_, signals.Weights(content=0), k=50)
+    out = ranking.features(found, plans, works_)
+    return out.select("dmp_doi", "work_doi", "work_title", *[F.col(c).cast("long").alias(c) for c in ("funded_doi_matched", "award_match_count", "author_orcid_match_count", "institution_ror_match_count", "intra_work_doi_count", "dmp_award_count", "dmp_funder_count")])

@@ -57,6 +57,8 @@ def test_names():
 def test_markup(spark):
     texts = ["<p>Hello</p>", "<div><p>Hello</p></div>", "Hello", "<p>None</p>", "  ", None, "a <b x='>'>c</b> <!-- > d --> e &amp; f"]
     assert one(spark, X.strip_markup("x", ["None"]), *texts) == ["Hello", "Hello", "Hello", None, None, None, "a c  e &amp; f"]
+    odd = ["AT&T <i>x</i> a=1&b=2", "p < 0.05 and q > 1", "a <b", "x<!-- open", "<p title=\"a>b\">t</p>", "<>y", "<" + "a b='c' " * 20_000 + ">z", "a\n<br/>\nb"]
+    assert one(spark, X.strip_markup("x"), *odd) == ["AT&T x a=1&b=2", "p < 0.05 and q > 1", "a", "x", "t", "y", "z", "a\n\nb"]
 
 
 def test_inverted_index(spark):
@@ -72,6 +74,9 @@ def test_award_ids(spark):
     texts = ["1R21NS139078-01", "R15 AR083143-01", "5R01-AI167850", "AI001335", "1 R01 AG080054-01R1", "RO1HL168018", "nothing", None]
     got = one(spark, F.transform(A.awards_in("x", F.lit(A.NIH)), lambda a: A.identifier(a)), *texts)
     assert got == [["1R21NS139078-01"], ["R15AR083143-01"], ["5R01AI167850"], ["AI001335"], ["1R01AG080054-01R1"], ["R01HL168018"], [], []]
+    odd = ["NIH R01AG080054", "AG080054R1", "UO1HL168018", "RO1 HL168018-0", "AG0800541234567"]
+    parts = one(spark, F.transform(A.awards_in("x", F.lit(A.NIH)), lambda a: F.concat_ws("/", *[F.coalesce(a[f], F.lit("")) for f in ("activity_code", "institute_code", "serial_number", "support_year", "other_suffixes")])), *odd)
+    assert parts == [["R01/AG/080054//"], ["/AG/080054//R1"], ["UO1/HL/168018//"], ["R01/HL/168018//"], ["/AG/080054//"]]
     spelled = one(spark, F.flatten(F.transform(A.awards_in("x", F.lit(A.NIH)), lambda a: A.variants(a))), "R01AI176039")[0]
     assert spelled == sorted({"AI 176039", "AI176039", "R01 AI 176039", "R01AI176039", "R01 AI176039"})
     nsf = one(spark, F.flatten(F.transform(A.awards_in("x", F.lit(A.NSF)), lambda a: A.variants(a))), "https://x/showAward?AWD_ID=0932263&H=f", "DMR-1507101; 2132549")
