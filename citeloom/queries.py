@@ -6,6 +6,7 @@ works, lineitem for relations, events for release states, conversations for plan
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -17,6 +18,7 @@ from citeloom.functions import text as X
 from citeloom.matching import ranking, signals
 from citeloom.operators import audits, changes, keys, lists, relations
 from citeloom.plans import works
+from citeloom.sources import records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -564,3 +566,126 @@ def match_features(spark, d):
     found = signals.match(plans, works_, signals.Weights(content=0), k=50)
     out = ranking.features(found, plans, works_)
     return out.select("dmp_doi", "work_doi", "work_title", *[F.col(c).cast("long").alias(c) for c in ("funded_doi_matched", "award_match_count", "author_orcid_match_count", "institution_ror_match_count", "intra_work_doi_count", "dmp_award_count", "dmp_funder_count")])
+
+
+# ---- raw records: JSON as the sources write it, made of orders (o), their customers (c) and days ------------------
+
+
+def _raw(spark, d, name: str, json: str, schema: str, values: dict[str, Column]) -> DataFrame:
+    """Rows of ``schema`` parsed from the JSON text ``json``, in which $x stands for the value x."""
+    parts = re.split(r"\$(\w)", json)
+    text = F.concat(*[F.lit(p) if i % 2 == 0 else values[p].cast("string") for i, p in enumerate(parts)])
+    return table(spark, d, name).select(F.from_json(text, schema).alias("r")).select("r.*")
+
+
+def _orders_raw(spark, d, json: str, schema: str) -> DataFrame:
+    o, c = F.col("o_orderkey"), F.col("o_custkey")
+    values = {
+        "o": o, "c": c, "n": c % 5, "p": F.col("o_orderpriority"), "d": F.date_format("o_orderdate", "yyyy-MM-dd"),
+        "s": F.when(o % 3 == 0, "2/DS").otherwise("1/O"), "x": F.when(o % 9 == 0, "true").otherwise("false"),
+    }
+    return _raw(spark, d, "orders", json, schema, values)
+
+
+_OPENALEX = """{"id": "https://openalex.org/W$o", "doi": "https://doi.org/10.$s$o", "is_xpac": $x, "ids": {"mag": $o, "pmid": "https://pubmed.ncbi.nlm.nih.gov/$c"}, "title": "<i>$p</i> &amp; $o", "type": "book-chapter",
+"abstract_inverted_index": {"Hello": [0], "$p": [2, 1]}, "publication_date": "$d", "updated_date": "$dT01:02:03", "primary_location": {"source": {"display_name": "Venue"}},
+"authorships": [{"author": {"display_name": "Jane Roe", "orcid": "https://orcid.org/0000-0001-2345-678X"}, "institutions": [{"display_name": "U$n", "ror": "https://ror.org/0A$n"}, {"display_name": "U$n", "ror": "https://ror.org/0a$n"}]}, {"author": {}, "institutions": []}],
+"funders": [{"id": "https://openalex.org/F$n", "display_name": "Fund", "ror": null}], "awards": [{"id": "https://openalex.org/G1", "funder_award_id": "A$o, B$n", "doi": "10.9/X"}, {"id": "https://openalex.org/G2"}]}"""
+_DATACITE = """{"id": "10.2/DS$o", "attributes": {"titles": [{"title": " "}, {"title": "T $o"}], "descriptions": [{"description": "<p>About $p</p>"}], "types": {"resourceTypeGeneral": "Dataset"}, "created": "$dT00:00:00",
+"updated": "$dT08:00:00", "publisher": {"name": "P"}, "creators": [{"name": "Roe, Jane", "nameType": "Personal", "nameIdentifiers": {"nameIdentifier": "https://orcid.org/0000-0001-2345-6789"},
+"affiliation": [{"name": "U$n", "affiliationIdentifier": "https://ror.org/0A$n"}]}, {"name": "Org", "nameType": "Organizational", "affiliation": [{"name": "Hidden"}]}], "fundingReferences": [{"funderName": "F", "award_number": "$o,X$n"}, {"funderName": "None"}],
+"relatedIdentifiers": [{"relationType": "IsPartOf", "relatedIdentifier": "https://doi.org/10.3/P$c", "relatedIdentifierType": "URL"}, {"relationType": "Cites", "relatedIdentifier": "abc", "relatedIdentifierType": "DOI"}]}}"""
+_CROSSREF = """{"DOI": "10.1/O$o", "title": ["", "A longer title of order $o than the other source has"], "abstract": "<jats:p>$p</jats:p>", "deposited": {"date-time": "$dT00:00:00"},
+"funder": [{"DOI": "10.13039/$c", "name": "F", "award": ["x$o, y", null]}, {"name": "G"}], "relation": {"is-part-of": [{"id": "https://doi.org/10.5/B$c", "id-type": "uri", "asserted-by": "subject"}, {"id": "q", "id-type": "doi"}]}}"""
+_FACTS = "SELECT o_orderkey AS o, o_custkey AS c, o_custkey % 5 AS n, o_orderpriority AS p, strftime(o_orderdate, '%Y-%m-%d') AS d, CASE WHEN o_orderkey % 3 = 0 THEN '10.2/ds' ELSE '10.1/o' END || o_orderkey AS doi FROM orders"
+
+
+def _listed(array: str | Column, *fields: str) -> Column:
+    """The given fields of an array of structs as text."""
+    a = F.col(array) if isinstance(array, str) else array
+    return F.array_join(F.transform(a, lambda x: F.concat_ws(":", *[x[f] for f in fields])), ",")
+
+
+@query(f"""SELECT 'w' || o AS id, doi, p || ' &amp; ' || o AS title, 'Hello ' || p || ' ' || p AS abstract, d AS published, d || ' 01:02:03' AS updated, 'Venue' AS publication_venue, CAST(o AS VARCHAR) || ':' || c AS ids,
+'0000-0001-2345-678x:J:Jane:Roe:Jane Roe' AS authors, 'U' || n || ':0a' || n AS institutions, 'f' || n || ':Fund' AS funders, 'g1:A' || o || ':10.9/x,g1:B' || n || ':10.9/x' AS awards FROM ({_FACTS}) WHERE o % 9 <> 0""")
+def records_openalex(spark, d):
+    """Raw works to rows: identifiers, markup, inverted abstracts, names, nested lists; the extended corpus left out."""
+    r = records.openalex(_orders_raw(spark, d, _OPENALEX, records.OPENALEX))
+    return r.select(
+        "id", "doi", "title", "abstract", F.col("publication_date").cast("string").alias("published"), F.col("updated_date").cast("string").alias("updated"), "publication_venue", F.concat_ws(":", "ids.mag", "ids.pmid").alias("ids"),
+        _listed("authors", "orcid", "first_initial", "given_name", "surname", "full").alias("authors"), _listed("institutions", "name", "ror").alias("institutions"), _listed("funders", "id", "display_name").alias("funders"),
+        _listed("awards", "id", "funder_award_id", "doi").alias("awards"),
+    )
+
+
+@query(f"""SELECT '10.2/ds' || o AS doi, 'T ' || o AS title, 'About ' || p AS abstract, 'Dataset' AS work_type, d AS published, d || ' 08:00:00' AS updated, '0000-0001-2345-6789:Jane:Roe' AS authors,
+'0a' || n || ':U' || n AS institutions, 'F:' || o || ',F:X' || n AS funders, 'IsPartOf:10.3/p' || c || ':DOI,Cites:abc' AS relations FROM ({_FACTS})""")
+def records_datacite(spark, d):
+    """Raw deposits to rows: personal creators alone, objects that stand for arrays, award lists, DOIs among related ids."""
+    r = records.datacite(_orders_raw(spark, d, _DATACITE, records.DATACITE))
+    return r.select(
+        "doi", "title", "abstract", "work_type", F.col("publication_date").cast("string").alias("published"), F.col("updated_date").cast("string").alias("updated"), _listed("authors", "orcid", "given_name", "surname").alias("authors"),
+        _listed("institutions", "affiliation_identifier", "name").alias("institutions"), _listed("funders", "funder_name", "award_number").alias("funders"), _listed("relations", "relation_type", "related_identifier", "related_identifier_type").alias("relations"),
+    )
+
+
+@query(f"""SELECT '10.1/o' || o AS doi, 'A longer title of order ' || o || ' than the other source has' AS title, p AS abstract, d || ' 00:00:00' AS updated,
+'F:10.13039/' || c || ':x' || o || ',F:10.13039/' || c || ':y' AS funders, 'is-part-of:10.5/b' || c || ':doi:subject,is-part-of:q' AS relations FROM ({_FACTS})""")
+def records_crossref(spark, d):
+    r = records.crossref(_orders_raw(spark, d, _CROSSREF, records.CROSSREF))
+    return r.select("doi", "title", "abstract", F.col("updated_date").cast("string").alias("updated"), _listed("funders", "name", "funder_doi", "award").alias("funders"), _listed("relations", "relation_type", "relation_id", "id_type", "asserted_by").alias("relations"))
+
+
+@query("""SELECT '10.48321/d' || c_custkey AS doi, 'Plan ' || c_custkey AS title, '2024-01-01' AS begun, CASE WHEN c_custkey % 2 = 0 THEN '2025-06-01' END AS ended, 'A,:01ab23456' AS institutions, 'One,Two' AS authors,
+'NIH:01cwqze88' || CASE WHEN c_custkey % 2 = 0 THEN '' ELSE ':R' || c_custkey END AS funding, '10.9/a,10.9/z' || c_custkey AS outputs FROM customer""")
+def records_dmps(spark, d):
+    """Plans whose lists are JSON text: sorted, distinct, ids taken out, award ids that say nothing nulled."""
+    n = F.col("c_custkey").cast("string")
+    even = F.col("c_custkey") % 2 == 0
+    none, stamp = F.lit(None).cast("string"), F.lit(None).cast("timestamp_ntz")
+    grant = F.when(even, "n/a").otherwise(F.concat(F.lit("R"), n))
+    raw = table(spark, d, "customer").select(
+        F.concat(F.lit("D"), n).alias("doi"), stamp.alias("created"), stamp.alias("registered"), stamp.alias("modified"), F.concat(F.lit("<b>Plan</b> "), n).alias("title"), none.alias("abstract_text"), F.lit("2024-01-01").alias("project_start"),
+        F.when(even, "2025-06").otherwise("bad").alias("project_end"), F.lit('[{"name": null, "affiliation_id": "https://ror.org/01ab23456"}, {"name": "A"}]').alias("institutions"),
+        F.lit('[{"given_name": "B", "surname": "Two", "created": "2"}, {"given_name": "A", "surname": "One", "is_primary_contact": true}]').alias("authors"),
+        F.concat(F.lit('[{"funder_name": "NIH", "funder_id": "https://ror.org/01cwqze88", "grant_id": "'), grant, F.lit('"}]')).alias("funding"),
+        F.concat(F.lit('[{"doi": "10.9/Z'), n, F.lit('"}, {"doi": "10.9/a"}, {"doi": "10.9/z'), n, F.lit('"}]')).alias("published_outputs"),
+    )
+    r = records.dmps(raw)
+    institutions = F.array_join(F.transform("institutions", lambda i: F.concat(F.coalesce(i["name"], F.lit("")), F.coalesce(F.concat(F.lit(":"), i["ror"]), F.lit("")))), ",")
+    funding = F.array_join(F.transform("funding", lambda f: F.concat_ws(":", f["funder"]["name"], f["funder"]["ror"], f["award_id"])), ",")
+    return r.select("doi", "title", F.col("project_start").cast("string").alias("begun"), F.col("project_end").cast("string").alias("ended"), institutions.alias("institutions"), _listed("authors", "surname").alias("authors"), funding.alias("funding"), _listed("published_outputs", "doi").alias("outputs"))
+
+
+def _release(spark, d) -> dict[str, DataFrame]:
+    """The whole index built from the raw records: every second order is in the second source, every third a deposit."""
+    openalex = records.openalex(_orders_raw(spark, d, _OPENALEX, records.OPENALEX))
+    datacite = records.datacite(_orders_raw(spark, d, _DATACITE, records.DATACITE)).where("regexp_replace(doi, '.*ds', '') % 3 = 0")
+    crossref = records.crossref(_orders_raw(spark, d, _CROSSREF, records.CROSSREF)).where("regexp_replace(doi, '.*o', '') % 2 = 0")
+    places = table(spark, d, "region").select(F.concat(F.lit("https://ror.org/0a"), F.col("r_regionkey").cast("string")).alias("id"), F.array().cast("array<struct<type:string,all_ids:array<string>>>").alias("external_ids"))
+    cited = table(spark, d, "orders").where("o_orderkey % 3 = 0").select(F.concat(F.lit("https://doi.org/10.2/DS"), F.col("o_orderkey").cast("string")).alias("dataset"), F.concat(F.lit("10.1/o"), (F.col("o_orderkey") + 1).cast("string")).alias("publication"), F.lit("s").alias("source"))
+    return works.Release(openalex, datacite, crossref, places, cited, RELEASE).build()
+
+
+def _flat(index: DataFrame) -> DataFrame:
+    links = lambda name: _listed(f"relations.{name}", "doi")
+    return index.select(
+        "doi", "title", "abstract_text", "work_type", F.col("updated_date").cast("string").alias("updated"), _listed("institutions", "name", "ror").alias("institutions"), F.array_join(F.array_sort("awards.award_id"), ",").alias("awards"),
+        _listed("authors", "orcid").alias("authors"), links("dataset_citation_dois").alias("cited"), F.col("source.url").alias("url"),
+    )
+
+
+@query(f"""SELECT doi, 'T ' || o AS title, 'About ' || p AS abstract_text, 'DATASET' AS work_type, d || ' 08:00:00' AS updated, 'U' || n || ':0a' || n AS institutions,
+array_to_string(list_sort([CAST(o AS VARCHAR), 'X' || n] || CASE WHEN o % 9 = 0 THEN [] ELSE ['A' || o, 'B' || n] END), ',') AS awards, '0000-0001-2345-6789' AS authors, '10.1/o' || (o + 1) AS cited,
+'https://commons.datacite.org/doi.org/' || doi AS url FROM ({_FACTS}) WHERE o % 3 = 0""")
+def datacite_index(spark, d):
+    """The deposits' index by works.Release: latest dates, institutions by registry id, awards of both sources, citations."""
+    return _flat(_release(spark, d)["datacite_index"])
+
+
+@query(f"""SELECT doi, CASE WHEN o % 2 = 0 THEN 'A longer title of order ' || o || ' than the other source has' ELSE p || ' &amp; ' || o END AS title, 'Hello ' || p || ' ' || p AS abstract_text, 'BOOK_CHAPTER' AS work_type,
+d || ' 01:02:03' AS updated, 'U' || n || ':0a' || n AS institutions, array_to_string(list_sort(['A' || o, 'B' || n] || CASE WHEN o % 2 = 0 THEN ['x' || o, 'y'] ELSE [] END), ',') AS awards, '0000-0001-2345-678x' AS authors,
+CASE WHEN o % 3 = 1 AND EXISTS (SELECT 1 FROM orders q WHERE q.o_orderkey = o - 1) THEN '10.2/ds' || (o - 1) ELSE '' END AS cited, 'https://openalex.org/works/w' || o AS url FROM ({_FACTS}) WHERE o % 3 <> 0""")
+def openalex_index(spark, d):
+    """The other works' index: the longer of two sources' texts, latest dates, awards of both, citations."""
+    return _flat(_release(spark, d)["openalex_index"])
