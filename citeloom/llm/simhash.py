@@ -178,14 +178,20 @@ def _agree(least: float) -> Callable:
     return run
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, words: int, least: float, name: str, step: Scratch) -> DataFrame:
-    """The pairs (u, v) whose shingle sets are similar enough, written; one of the two sets travels for each pair."""
+def _verified(docs: DataFrame, pairs: DataFrame, tried: list[DataFrame], words: int, least: float, name: str, step: Scratch) -> DataFrame:
+    """The pairs (u, v) that were not ``tried`` before and whose shingle sets are similar enough, written.
+
+    One of the two sets travels for each pair. The pairs, written too, are added to ``tried``.
+    """
+    if tried:
+        pairs = pairs.join(reduce(DataFrame.unionByName, tried), ["u", "v"], "left_anti")
     pairs = step.keep(pairs, f"{name}-pairs")
+    tried.append(pairs)
     wanted = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
     sets = step.keep(docs.join(wanted, "id", "left_semi").mapInArrow(_sets(words), "id long, shingles binary"), f"{name}-sets")
     full = pairs.join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v").select("u", "v", "a", "b")
     links = step.keep(full.mapInArrow(_agree(least), "u long, v long"), f"{name}-links")
-    step.drop(f"{name}-pairs", f"{name}-sets")
+    step.drop(f"{name}-sets")
     return links
 
 
@@ -220,13 +226,15 @@ def _prefixes(units: DataFrame, least: float, step: Scratch) -> DataFrame:
     return ranked.where(F.col("rank") <= F.col("mark") - F.ceil(F.col("mark") * least - 1e-9) + 1).where("many > 1").select("value", "id", "class", "mark")
 
 
-def _classed(ids: DataFrame, links: list[DataFrame]) -> DataFrame:
-    """``ids`` (column id and more) with class: the smallest id that the links connect it with."""
-    roots = connected(reduce(DataFrame.unionByName, links)).select(F.col("node").alias("id"), F.col("root").alias("class"))
-    return ids.drop("class").join(roots, "id", "left").withColumn("class", F.coalesce("class", "id"))
+def _classed(units: DataFrame, links: list[DataFrame]) -> DataFrame:
+    """``units`` (id, class and more) with the classes that the links between ids join merged, each named by the smallest."""
+    names = units.select("id", "class")
+    links = reduce(DataFrame.unionByName, links).join(names.toDF("u", "a"), "u").join(names.toDF("v", "b"), "v")
+    roots = connected(links.where("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v")))
+    return units.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("class", F.coalesce("root", "class")).drop("root")
 
 
-def similar_classes(docs: DataFrame, words: int = 5, least: float = 0.8, tables: int = 13, bits: int = 28, batch: int = 5, short: int = 48, block: int = 128) -> DataFrame:
+def similar_classes(docs: DataFrame, words: int = 5, least: float = 0.8, tables: int = 13, bits: int = 28, batch: int = 4, short: int = 48, block: int = 128, spread: float = 3.0) -> DataFrame:
     """id, class_id for documents (id long, text) whose sets of word shingles are similar by at least ``least`` (Jaccard).
 
     ids must be distinct; the class id is the smallest id of those connected. Null and wordless texts are one class.
@@ -236,8 +244,10 @@ def similar_classes(docs: DataFrame, words: int = 5, least: float = 0.8, tables:
        are verified against the smallest of them. This joins large groups of near copies with few pairs.
     3. Table by table, each fingerprint and class is spread over its radius-1 ball, so that those within two bits meet; so
        do texts of up to ``short`` shingles under the rarest of their shingles, which misses none. All members of different
-       classes that meet are compared by 64 other bits of their sketches, then by their exact sets. The first three tables
-       go together, and ``batch`` of the others, so that one batch's shuffle is on disk at a time.
+       classes that meet are compared by 128 bits of their sketches, which ``spread`` standard deviations beyond the bits
+       expected at ``least`` refuse (3: one pair in 700 at that similarity), then by their exact sets. The first table
+       goes alone, as what it joins need not be compared again, then ``batch`` at a time, so that one batch's shuffle is on
+       disk at once.
 
     A pair of long texts at 0.8 meets in some table with a chance of 0.92, at 0.85 of 0.99, at 0.9 of 0.9996 (README).
     """
@@ -250,29 +260,30 @@ def similar_classes(docs: DataFrame, words: int = 5, least: float = 0.8, tables:
     early = leads.select("id", F.explode(F.slice("bases", 1, 3)).alias("base"))
     heads = step.keep(early.groupBy("base").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1"), "heads")
     pairs = early.join(heads, "base").where("id > head").select(F.col("id").alias("u"), F.col("head").alias("v")).distinct()
-    found = [_verified(docs, pairs, words, least, "early", step)]
-    units = step.keep(_classed(leads, found), "units")
+    tried: list[DataFrame] = []
+    found = [_verified(docs, pairs, tried, words, least, "early", step)]
+    units = step.keep(_classed(leads.withColumn("class", F.col("id")), found), "units")
 
     share = np.arccos(2 * least / (1 + least)) / np.pi  # of the bits, expected to differ at the least similarity
-    apart = int(64 * share + 3.5 * (64 * share * (1 - share)) ** 0.5)
-    alike = lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= apart
+    apart = int(128 * share + spread * (128 * share * (1 - share)) ** 0.5)
+    alike = lambda x, y: F.bit_count(x["a"].bitwiseXOR(y["a"])) + F.bit_count(x["b"].bitwiseXOR(y["b"])) <= apart
+    mark = F.struct(F.get("checks", F.lit(0)).alias("a"), F.get("checks", F.lit(1)).alias("b")).alias("mark")
     base = F.col("base")
     ball = F.array(base, *[base.bitwiseXOR(F.lit(1 << b).cast("long")) for b in range(bits)])
-    for at in [0, *range(3, tables, batch)]:
-        mark = F.get("checks", F.lit(1 if at == 0 else 0)).alias("mark")  # bits of another table
-        rows = units.select("id", "class", mark, F.explode(F.slice("bases", at + 1, batch if at else 3)).alias("base"))
+    for at in [0, *range(1, tables, batch)]:
+        rows = units.select("id", "class", mark, F.explode(F.slice("bases", at + 1, batch if at else 1)).alias("base"))
         # of one class under one fingerprint, one goes on: another in another table
         chosen = F.min_by(F.struct("id", "mark"), F.xxhash64("id", "base")).alias("s")
         rows = rows.groupBy("base", "class").agg(chosen).select(F.explode(ball).alias("value"), "s.id", "class", "s.mark")
-        found.append(_verified(docs, _met(rows, alike, block, f"table{at}", step), words, least, f"table{at}", step))
+        found = [_verified(docs, _met(rows, alike, block, f"table{at}", step), tried, words, least, f"table{at}", step)]
+        units = step.keep(_classed(units, found), f"units{at}")
         step.drop(f"table{at}-met")
-        if at == 0:
-            units = step.keep(_classed(units, found), "classed")
     sized = lambda x, y: F.least(x, y) >= F.greatest(x, y) * least - 1e-9
-    found.append(_verified(docs, _met(_prefixes(units, least, step), sized, block, "short", step), words, least, "short", step))
-    step.drop("short-met", "common", "units", "classed", "heads")
+    found = [_verified(docs, _met(_prefixes(units, least, step), sized, block, "short", step), tried, words, least, "short", step)]
+    step.drop("short-met", "common", "units", "heads")
 
-    classes = _classed(firsts.select("folded", F.col("first").alias("id")), found).select("folded", F.col("class").alias("class_id"))
+    classes = _classed(units.select("id", "class"), found).select(F.col("id").alias("first"), F.col("class").alias("class_id"))
+    classes = firsts.join(classes, "first").select("folded", "class_id")
     return made.select("id", "folded").join(classes, "folded").select("id", "class_id")
 
 
