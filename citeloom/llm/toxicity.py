@@ -66,13 +66,17 @@ class FactorizationMachine:
 def fit(sample: list[tuple[str, int]], bits: int = 22, most_terms: int = 800, factors: int = 8, epochs: int = 100, seed: int = 7) -> FactorizationMachine:
     """Train on (text, 0/1) pairs. The ``most_terms`` terms that tell the labels apart best (by chi-square) are kept.
 
+    Of texts with one label whose term sets are similar by 0.8 or more (Jaccard) and share their smallest hashes, one counts.
+
     Without both labels in the sample the score is the labels' mean, or 0.5 for an empty sample.
     """
-    docs, seen_before = [], set()
+    docs, kept_by = [], {}
     for text, label in sample:
         terms = sorted({t for w in words_of(text) for t in terms_of(w, bits)})
-        if (copy := (tuple(terms), label)) not in seen_before:  # a copy would count its terms' chance company again
-            seen_before.add(copy)
+        # a near copy would count its terms' chance company again: those of one beginning are compared whole
+        alike, own = kept_by.setdefault(tuple(terms[:6]), []), set(terms)
+        if not any(other == label and len(own & t) >= 0.8 * len(own | t) for t, other in alike):
+            alike.append((own, label))
             docs.append((terms, label))
     y = np.array([label for _, label in docs], float)
     docs = [terms for terms, _ in docs]
