@@ -8,7 +8,6 @@ group's name can so weigh more, or less, than their sum.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -63,6 +62,12 @@ class FactorizationMachine:
         return float(sigmoid(np.float64(self.bias + self.weight[rows].sum() + 0.5 * (total @ total - (v * v).sum()))))
 
 
+def _jaccard(x: np.ndarray, y: np.ndarray) -> float:
+    """Of two sorted arrays of distinct values; 1 for two empty ones."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / (len(x) + len(y) - both) if len(x) or len(y) else 1.0
+
+
 def fit(sample: list[tuple[str, int]], bits: int = 22, most_terms: int = 800, factors: int = 8, epochs: int = 100, seed: int = 7) -> FactorizationMachine:
     """Train on (text, 0/1) pairs. The ``most_terms`` terms that tell the labels apart best (by chi-square) are kept.
 
@@ -70,35 +75,33 @@ def fit(sample: list[tuple[str, int]], bits: int = 22, most_terms: int = 800, fa
 
     Without both labels in the sample the score is the labels' mean, or 0.5 for an empty sample.
     """
-    docs, kept_by = [], {}
+    docs, labels, kept_by = [], [], {}
     for text, label in sample:
-        terms = sorted({t for w in words_of(text) for t in terms_of(w, bits)})
+        terms = np.unique(np.fromiter((t for w in words_of(text) for t in terms_of(w, bits)), np.int32))
         # a near copy would count its terms' chance company again: those of one beginning are compared whole
-        alike, own = kept_by.setdefault(tuple(terms[:6]), []), set(terms)
-        if not any(other == label and len(own & t) >= 0.8 * len(own | t) for t, other in alike):
-            alike.append((own, label))
-            docs.append((terms, label))
-    y = np.array([label for _, label in docs], float)
-    docs = [terms for terms, _ in docs]
-    if not len(y) or y.min() == y.max():
-        return FactorizationMachine(bits, float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))) if len(y) else 0.0, {}, np.zeros(0), np.zeros((0, factors)))
-    seen, hits = Counter(), Counter()
-    for terms, label in zip(docs, y):
-        seen.update(terms)
+        alike = kept_by.setdefault((label, terms[:6].tobytes()), [])
+        if not any(_jaccard(t, terms) >= 0.8 for t in alike):
+            alike.append(terms)
+            docs.append(terms)
+            labels.append(label)
+    y, n, pos = np.array(labels, float), len(labels), float(sum(labels))
+    if not n or y.min() == y.max():
+        return FactorizationMachine(bits, float(np.log((pos + 0.5) / (n - pos + 0.5))) if n else 0.0, {}, np.zeros(0), np.zeros((0, factors)))
+    seen, hits = np.zeros(1 << bits, np.int32), np.zeros(1 << bits, np.int32)
+    for terms, label in zip(docs, labels):
+        seen[terms] += 1
         if label:
-            hits.update(terms)
-    n, pos = len(y), y.sum()
-
-    def chi(t: int) -> float:
-        a, b = hits[t], seen[t] - hits[t]
-        c, d = pos - a, n - pos - b
-        return n * (a * d - b * c) ** 2 / max((a + b) * (c + d) * (a + c) * (b + d), 1e-9)
-
-    kept = sorted(((x, t) for t, m in seen.items() if m >= 4 and (x := chi(t)) > 20), key=lambda p: (-p[0], p[1]))[:most_terms]
-    index = {t: i for i, (_, t) in enumerate(kept)}
+            hits[terms] += 1
+    often = np.flatnonzero(seen >= 4)
+    a, b = hits[often].astype(float), (seen - hits)[often].astype(float)
+    c, d = pos - a, n - pos - b
+    chi = n * (a * d - b * c) ** 2 / np.maximum((a + b) * (c + d) * (a + c) * (b + d), 1e-9)
+    best = np.lexsort((often, -chi))
+    kept = often[best[chi[best] > 20][:most_terms]]
+    index = {t: i for i, t in enumerate(kept.tolist())}
     x = np.zeros((n, len(index)), np.float32)
     for i, terms in enumerate(docs):
-        x[i, [index[t] for t in terms if t in index]] = 1
+        x[i, [index[t] for t in terms.tolist() if t in index]] = 1
     rng = np.random.default_rng(seed)
     rare = min(3.0, max(1.0, (n - pos) / pos))  # a missed toxic document counts more than a clean one
     p = {"b": np.array([np.log(pos / (n - pos))]), "w": np.zeros(len(index)), "v": rng.normal(0, 0.02, (len(index), factors))}
