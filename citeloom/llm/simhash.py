@@ -187,7 +187,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, tried: list[DataFrame], words:
         pairs = pairs.join(reduce(DataFrame.unionByName, tried), ["u", "v"], "left_anti")
     pairs = step.keep(pairs, f"{name}-pairs")
     tried.append(pairs)
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
+    wanted = pairs.select(F.col("u").alias("id")).distinct().unionByName(pairs.select(F.col("v").alias("id")).distinct()).distinct()
     sets = step.keep(docs.join(wanted, "id", "left_semi").mapInArrow(_sets(words), "id long, shingles binary"), f"{name}-sets")
     full = pairs.join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v").select("u", "v", "a", "b")
     links = step.keep(full.mapInArrow(_agree(least), "u long, v long"), f"{name}-links")
@@ -199,24 +199,34 @@ def _met(rows: DataFrame, near: Callable[[Column, Column], Column], block: int,
     """Distinct pairs (u, v) of ids of different classes under one value, from rows (value, id, class, mark).
 
     Pairs are refused where near(mark, mark) is false. A value of more than ``block`` rows is dealt into blocks, and
-    every two of them meet, so that no group is gathered whole.
+    every two of them meet, so that no group is gathered whole; rows of one block meet only in the group of that block alone.
     """
     rows = rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("value")))
     rows = step.keep(rows.where("n > 1"), f"{name}-met")
-    member = F.collect_list(F.struct("id", "class", "mark")).alias("g")
-    small = rows.where(F.col("n") <= block).groupBy("value").agg(member)
+    member = F.collect_list(F.struct("id", "class", "mark", "own")).alias("g")
+    small = rows.where(F.col("n") <= block).withColumn("own", F.lit(0).cast("long")).groupBy("value").agg(member).withColumn("lone", F.lit(True))
     parts = F.ceil(F.col("n") / block)
     large = rows.where(F.col("n") > block).withColumn("own", F.pmod(F.xxhash64("id"), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
     large = large.groupBy("value", F.least("own", "other").alias("_a"), F.greatest("own", "other").alias("_b")).agg(member)
+    large = large.select("value", "g", (F.col("_a") == F.col("_b")).alias("lone"))
 
     def mates(x: Column) -> Column:
-        fit = F.filter("g", lambda y: (x["id"] > y["id"]) & (x["class"] != y["class"]) & F.coalesce(near(x["mark"], y["mark"]), F.lit(True)))
+        fit = F.filter("g", lambda y: (x["id"] > y["id"]) & (x["class"] != y["class"]) & (F.col("lone") | (x["own"] != y["own"])) & F.coalesce(near(x["mark"], y["mark"]), F.lit(True)))
         return F.transform(fit, lambda y: F.struct(x["id"].alias("u"), y["id"].alias("v")))
 
-    pairs = small.select("g").unionByName(large.select("g")).select(F.explode(F.flatten(F.transform("g", mates))).alias("p"))
+    pairs = small.unionByName(large).select(F.explode(F.flatten(F.transform("g", mates))).alias("p"))
     return pairs.select("p.u", "p.v").distinct()
 
 
+def _once(x: Column, y: Column, value: Column) -> Column:
+    """Whether a pair that meets under ``value``, bits x and y (-1: none) away from it, meets under no smaller value.
+
+    Fingerprints that differ in one or two bits meet under two values, equal ones under their whole ball: there under themselves.
+    """
+    top = F.greatest(x, y).cast("int")
+    return F.when(x == y, x < 0).otherwise(F.getbit(value, F.greatest(top, F.lit(0))) == 0)
+
+
 def _prefixes(units: DataFrame, least: float, step: Scratch) -> DataFrame:
     """value, id, class, mark (the set's size): of each short text its rarest shingles, so many that similar sets share one."""
     each = units.select("id", "class", F.size("shingles").cast("long").alias("mark"), F.explode("shingles").alias("value"))
@@ -274,8 +284,9 @@ def similar_classes(docs: DataFrame, words: int = 5, least: float = 0.8, tables:
         rows = units.select("id", "class", mark, F.explode(F.slice("bases", at + 1, batch if at else 1)).alias("base"))
         # of one class under one fingerprint, one goes on: another in another table
         chosen = F.min_by(F.struct("id", "mark"), F.xxhash64("id", "base")).alias("s")
-        rows = rows.groupBy("base", "class").agg(chosen).select(F.explode(ball).alias("value"), "s.id", "class", "s.mark")
-        found = [_verified(docs, _met(rows, alike, block, f"table{at}", step), tried, words, least, f"table{at}", step)]
+        rows = rows.groupBy("base", "class").agg(chosen).select(F.posexplode(ball).alias("at", "value"), "s.id", "class", "s.mark")
+        rows = rows.select("value", "id", "class", F.struct("mark.a", "mark.b", (F.col("at") - 1).cast("byte").alias("bit")).alias("mark"))
+        found = [_verified(docs, _met(rows, lambda x, y: _once(x["bit"], y["bit"], F.col("value")) & F.coalesce(alike(x, y), F.lit(True)), block, f"table{at}", step), tried, words, least, f"table{at}", step)]
         units = step.keep(_classed(units, found), f"units{at}")
         step.drop(f"table{at}-met")
     sized = lambda x, y: F.least(x, y) >= F.greatest(x, y) * least - 1e-9
