@@ -225,11 +225,17 @@ def _cover(k: int) -> Callable:
     return run
 
 
-def _deal(rows: DataFrame, by: list[str], size: int, spread: list[str]) -> DataFrame:
-    """Add ``chunk``: the rows of one key spread over as many chunks as keep each near ``size`` rows."""
-    many = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > size)
+def _deal(rows: DataFrame, asked: DataFrame, by: list[str], size: int, spread: list[str], salts: int = 64) -> DataFrame:
+    """Add ``chunk``: the rows of one key spread over as many chunks as keep each near ``size`` rows.
+
+    ``asked`` holds as many rows of each key as ``rows``. The keys of more than ``size`` rows are repeated for each salt, so
+    that no task has to hold all rows of one.
+    """
+    many = asked.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > size)
+    many = many.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     chunk: Column = F.pmod(F.xxhash64(*spread), F.ceil(F.col("_n") / size))
-    return rows.join(many, by, "left").withColumn("chunk", F.coalesce(chunk, F.lit(0))).drop("_n")
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64(F.lit("salt"), *spread), F.lit(salts)))
+    return rows.join(many, [*by, "_salt"], "left").withColumn("chunk", F.coalesce(chunk, F.lit(0))).drop("_n", "_salt")
 
 
 def _paths(source: DataFrame) -> DataFrame:
@@ -315,7 +321,7 @@ def dedup_substrings(docs: DataFrame, k: int = 20, mini: int = 6, chunk: int = 2
 
     spans = walks.groupBy(*KEY).agg(F.collect_list(F.struct(*_SPAN[2:])).alias("spans"))
     drawn = lone.join(spans, KEY).mapInArrow(_digests(k), "k long, tag string, start int, n int, k0 long, tag0 string, p0 long, digest binary")
-    asked = _deal(drawn, ["k0", "tag0"], chunk, ["k", "tag", "start"]).groupBy("k0", "tag0", "chunk").agg(F.collect_list(F.struct(*_SPAN[:4], "p0", "digest")).alias("asked"))
+    asked = _deal(drawn, walks, ["k0", "tag0"], chunk, ["k", "tag", "start"]).groupBy("k0", "tag0", "chunk").agg(F.collect_list(F.struct(*_SPAN[:4], "p0", "digest")).alias("asked"))
     asked = asked.select(F.col("k0").alias("k"), F.col("tag0").alias("tag"), "asked")
     checked = step.keep(lone.join(asked, KEY).mapInArrow(_verify(k), "k long, tag string, start int, n int, equal boolean"), "checked")
     sound, failed = checked.where("equal").drop("equal"), checked.where("not equal")
