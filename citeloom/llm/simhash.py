@@ -181,17 +181,19 @@ def _agree(least: float) -> Callable:
 def _verified(docs: DataFrame, pairs: DataFrame, tried: list[DataFrame], words: int, least: float, name: str, step: Scratch) -> DataFrame:
     """The pairs (u, v) that were not ``tried`` before and whose shingle sets are similar enough, written.
 
-    One of the two sets travels for each pair. The pairs, written too, are added to ``tried``.
+    One of the two sets travels for each pair. The pairs, written too, are added to ``tried``. The ids to be compared are
+    written before the texts are read, so that Spark knows their size and shuffles no texts where they are few.
     """
     if tried:
         pairs = pairs.join(reduce(DataFrame.unionByName, tried), ["u", "v"], "left_anti")
     pairs = step.keep(pairs, f"{name}-pairs")
     tried.append(pairs)
     wanted = pairs.select(F.col("u").alias("id")).distinct().unionByName(pairs.select(F.col("v").alias("id")).distinct()).distinct()
+    wanted = step.keep(wanted, f"{name}-ids")
     sets = step.keep(docs.join(wanted, "id", "left_semi").mapInArrow(_sets(words), "id long, shingles binary"), f"{name}-sets")
     full = pairs.join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v").select("u", "v", "a", "b")
     links = step.keep(full.mapInArrow(_agree(least), "u long, v long"), f"{name}-links")
-    step.drop(f"{name}-sets")
+    step.drop(f"{name}-sets", f"{name}-ids")
     return links
 
 
