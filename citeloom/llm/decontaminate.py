@@ -95,6 +95,20 @@ def _covered() -> Column:
     return F.when(F.size("_hits") == 0, F.array().cast("array<struct<a:int,z:int>>")).otherwise(F.aggregate(each, F.array().cast("array<struct<a:int,z:int>>"), add))
 
 
+def _dealt(out: DataFrame, found: DataFrame, most: int = 256, salts: int = 64) -> DataFrame:
+    """``out`` (id, n_words, n_hit, held) with the items of ``found`` (held, items); a list held by many rows is dealt over ``salts`` tasks.
+
+    Such lists have more than one in ``most`` of the rows, so there are fewer than ``most``, and their hashes are broadcast.
+    """
+    hash_, rows = F.xxhash64("held").alias("hash"), out.count()
+    hot = F.broadcast(out.groupBy(hash_).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * most > rows).select("hash", F.lit(True).alias("hot")))
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("id", "n_words", "n_hit"), F.lit(salts))).otherwise(F.lit(0).cast("long"))
+    left = out.withColumn("hash", hash_).join(hot, "hash", "left").withColumn("salt", salt).drop("hash", "hot")
+    every = F.when(F.col("hot"), F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    right = found.withColumn("hash", hash_).join(hot, "hash", "left").withColumn("salt", F.explode(every)).drop("hash", "hot")
+    return left.join(right, ["held", "salt"]).drop("salt")
+
+
 def report(docs: DataFrame, benchmark: DataFrame, size: int = 10, block: int = 200_000) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items (ids as sorted strings), contaminated, one row per row of ``docs``.
 
@@ -109,7 +123,8 @@ def report(docs: DataFrame, benchmark: DataFrame, size: int = 10, block: int = 2
     # the items of each distinct list of windows
     lists = out.where("size(held) > 0").select("held").distinct()
     found = lists.select("held", F.explode("held").alias("words")).join(windows, "words").groupBy("held").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    out = out.join(found, "held", "left").withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
+    hit = _dealt(out.where("size(held) > 0"), found)
+    out = hit.unionByName(out.where("size(held) = 0").withColumn("items", F.array().cast("array<string>")))
     return out.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", (F.col("n_hit") > 0).alias("contaminated"))
 
 

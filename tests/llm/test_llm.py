@@ -285,6 +285,14 @@ def test_decontamination(spark):
     assert decontaminate.report(docs(spark, *rows).limit(0), table).count() == 0
 
 
+def test_a_list_of_windows_that_many_rows_hold_is_dealt(spark):
+    lists = [[["a", "b"]]] * 40 + [[["c", str(i % 30)]] for i in range(60)]
+    out = spark.createDataFrame([(i, 2, 2, x) for i, x in enumerate(lists)], "id long, n_words long, n_hit long, held array<array<string>>")
+    found = spark.createDataFrame([(x, [str(x[0][1])]) for x in lists[39:70]], "held array<array<string>>, items array<string>")
+    got = decontaminate._dealt(out, found, most=4, salts=3).collect()
+    assert sorted((r["id"], r["items"]) for r in got) == [(i, [x[0][1]]) for i, x in enumerate(lists)]
+
+
 def test_privacy(spark):
     text = "Mr. John Smith met Mrs Anna Keller; Herr Keller, John Smith. +1 (017) 555-7713 or +1 017 555 7713, 4111 1111 1111 1111, 4111111111111111. 10.0.0.7 x.y1@mail.example.com X.Y1@MAIL.EXAMPLE.COM Иван Петров token = \"0123456789abcdef0123456789abcdef\""
     rows = [(1, text), (2, text), (3, None), (4, ""), (5, "nothing here 1990-2020, v1.2, 9807915762804490, 999.1.1.1, 1234567812345678"), (6, "mail b@c.de")]
