@@ -48,6 +48,16 @@ def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     return vectors.select(F.col("vec_id").cast("long"), x.alias("embedding")).where("vec_id is not null and embedding is not null").where(sound).select("vec_id", F.transform("embedding", lambda c: F.floor(c * scale)).alias("v"))
 
 
+def least_copies(data: DataFrame, k: int) -> DataFrame:
+    """Of rows with equal vectors those that can be among a query's ``k`` best: the k + 1 smallest ids, one of which may be
+    the query's own, and k rows of each. The rest tie with k kept rows of smaller or equal id. Spark limits each
+    partition's copies before the shuffle.
+    """
+    ids = data.withColumn("_id", F.dense_rank().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("_id") <= k + 1)
+    rows = ids.withColumn("_row", F.row_number().over(Window.partitionBy("v", "vec_id").orderBy("_id"))).where(F.col("_row") <= k)
+    return rows.select("vec_id", "v")
+
+
 def _assign(pivots: np.ndarray, width: int):
     square = (pivots**2).sum(1)
 
@@ -87,7 +97,8 @@ def _needed(pivots: np.ndarray, radius: np.ndarray, width: int):
     """Cells other than its own that may hold a better vector for a query than its k-th so far."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
+        # ids alone, for a thousand queries at once: with its vector in each of its cells' rows a batch outgrew the worker
+        for f in (frame[at : at + 1024] for frame in frames for at in range(0, len(frame), 1024)):
             q = _matrix(f["v"], width).astype(float)
             bound = q @ pivots.T + np.sqrt((q**2).sum(1))[:, None] * radius[None, :]
             bound += 1e-9 * (np.abs(bound) + np.sqrt((q**2).sum(1))[:, None] * np.sqrt((pivots**2).sum(1))) + 1
@@ -95,7 +106,7 @@ def _needed(pivots: np.ndarray, radius: np.ndarray, width: int):
             take = (bound >= least[:, None]) & (radius >= 0)[None, :]
             take[np.arange(len(f)), f["cell"].to_numpy()] = False
             i, c = np.nonzero(take)
-            yield pd.DataFrame({"query_id": f["query_id"].to_numpy()[i], "v": f["v"].to_numpy()[i], "qblock": f["qblock"].to_numpy()[i], "cell": c.astype(np.int32)})
+            yield pd.DataFrame({"query_id": f["query_id"].to_numpy()[i], "cell": c.astype(np.int32)})
 
     return run
 
@@ -131,7 +142,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, pivots: int = 128
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     centre = np.unique(_matrix(some["v"], width), axis=0).astype(float)
     kinds = "vec_id long, v array<long>, cell int, far double"
-    cells = materialise(data.mapInPandas(_assign(centre, width), kinds), "cells")
+    cells = materialise(least_copies(data, k).mapInPandas(_assign(centre, width), kinds), "cells")
     summary = cells.groupBy("cell").agg(F.max("far").alias("far"), F.count(F.lit(1)).alias("n"))  # a row per pivot
     radius = np.full(len(centre), -1.0)
     for r in summary.collect():
@@ -146,8 +157,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, pivots: int = 128
     first = materialise(_join(asked, dealt, k, width), "own-cell")
     tagged = first.withColumn("_copy", F.monotonically_increasing_id())
     least = _best(tagged, k).where(F.col("rank") == k).select("query_id", F.col("score").alias("least"))
-    further = asked.join(least, "query_id", "left").mapInPandas(_needed(centre, radius, width), "query_id long, v array<long>, qblock int, cell int")
-    more = _join(materialise(further, "asked"), dealt, k, width)
+    further = asked.join(least, "query_id", "left").mapInPandas(_needed(centre, radius, width), "query_id long, cell int")
+    more = _join(materialise(further, "asked").join(asked.drop("cell"), "query_id"), dealt, k, width)
     out = _best(first.unionByName(more).withColumn("_copy", F.monotonically_increasing_id()), k)
     return out.select("query_id", "rank", "vec_id", "score")
 

@@ -497,3 +497,31 @@ def test_window_hashes(k):
 def test_digest_matches_contract(spark):
     r = substring_dedup.dedup_substrings(docs(spark, (1, "a b"))).select(F.sha2("kept_text", 256)).first()[0]
     assert r == hashlib.sha256(b"a b").hexdigest()
+
+
+def test_top_k_deals_out_few_of_many_copies(spark):
+    """Every copy of a vector was dealt out once a block of queries; only those of least ids can be in a result."""
+    from pyspark.sql import functions as F
+
+    one = spark.range(3).select(F.col("id").alias("g"), F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: ((F.col("id") + i) % 3 - 1) / F.lit(2.0)).alias("embedding"))
+    rows = one.crossJoin(spark.range(60).withColumnRenamed("id", "c")).select((F.col("c") * 3 + F.col("g")).alias("vec_id"), "embedding")
+    rows = rows.union(rows.where("vec_id = 0")).union(rows.where("vec_id = 0"))  # an id of three rows
+    assert topk.least_copies(topk.quantised(rows), 4).count() == 3 * 5 + 2
+    got = sorted(tuple(r) for r in topk.top_k(rows, rows.where("vec_id % 50 = 0"), 4).select("query_id", "rank", "vec_id", "score").collect())
+    data = [(r["vec_id"], r["v"]) for r in topk.quantised(rows).collect()]
+    want = []
+    for q, v in sorted({(i, tuple(x)) for i, x in data if i % 50 == 0}):
+        best = sorted((-sum(a * b for a, b in zip(v, x)), i) for i, x in data if i != q)[:4]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert got == want
+
+
+def test_needed_cells_carry_no_vectors():
+    """A batch of queries gave its vectors once a cell, which grew by the cells' number; now ids alone, in slices."""
+    import numpy as np
+    import pandas as pd
+
+    n = 2500
+    frame = pd.DataFrame({"query_id": np.arange(n), "v": [np.array([1, 0])] * n, "cell": 0, "least": np.nan})
+    out = list(topk._needed(np.array([[0.0, 1.0], [1.0, 0.0], [2.0, 2.0]]), np.array([1.0, 1.0, -1.0]), 2)(iter([frame])))
+    assert [len(x) for x in out] == [1024, 1024, 452] and all(list(x.columns) == ["query_id", "cell"] and (x["cell"] == 1).all() for x in out)
