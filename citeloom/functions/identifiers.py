@@ -14,12 +14,17 @@ def col(c: ColumnLike) -> Column:
 
 
 def none_if_empty(c: ColumnLike) -> Column:
-    return F.nullif(col(c), F.lit(""))
+    # as a lambda's variable the value is made once; nullif writes its argument twice, and nested ones double each time
+    return F.get(F.transform(F.array(col(c)), lambda x: F.when(x != "", x)), 0)
+
+
+#: Unicode's white space: what ``(?U)\s`` matches.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def stripped(c: ColumnLike) -> Column:
     """Without white space of any script at either end; null if nothing is left."""
-    return none_if_empty(F.regexp_replace(col(c).cast("string"), r"(?U)^\s+|\s+$", ""))
+    return none_if_empty(F.btrim(col(c).cast("string"), F.lit(WHITE)))
 
 
 def clean(c: ColumnLike, lower: bool = False) -> Column:
@@ -29,7 +34,8 @@ def clean(c: ColumnLike, lower: bool = False) -> Column:
 def nfc(c: ColumnLike) -> Column:
     """Unicode NFC. Plain ASCII, the usual case, never leaves the JVM."""
     x = col(c)
-    return F.when(F.octet_length(x) == F.char_length(x), x).otherwise(_nfc(x))
+    plain = F.octet_length(x) == F.char_length(x)
+    return F.when(plain, x).otherwise(_nfc(F.when(~plain, x)))  # the function gets every row, in either case
 
 
 @F.pandas_udf(T.StringType())
@@ -41,9 +47,18 @@ def first_match(c: ColumnLike, pattern: str) -> Column:
     return none_if_empty(F.regexp_extract(col(c), pattern, 0))
 
 
+DOI = r"(?U)10\.[\d.]+/[^\s]+"
+
+
 def doi_in(c: ColumnLike) -> Column:
     """The DOI in a raw text field: the first match up to white space of any script, lower case, NFC."""
-    return nfc(F.lower(clean(first_match(c, r"(?U)10\.[\d.]+/[^\s]+"))))
+    return nfc(F.lower(clean(first_match(c, DOI))))
+
+
+def has_doi(c: ColumnLike) -> Column:
+    """Whether ``doi_in`` finds one. The field stands in it once: Spark pushes filters below projections with whatever
+    they read (a from_json of the whole record), and ``doi_in`` would have that evaluated a dozen times a row."""
+    return col(c).rlike(DOI)
 
 
 def doi_in_sql(c: ColumnLike) -> Column:

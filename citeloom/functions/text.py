@@ -143,7 +143,7 @@ def _nfc_in(values: pd.Series) -> pd.Series:
 def nfc_in(values: Column) -> Column:
     """NFC of every string of an array; arrays of ASCII alone stay in the JVM."""
     odd = F.exists(values, lambda x: F.octet_length(x) != F.char_length(x))
-    return F.when(odd, _nfc_in(values)).otherwise(values)
+    return F.when(odd, _nfc_in(F.when(odd, values))).otherwise(values)  # the function gets every row, in either case
 
 
 @F.pandas_udf(T.DoubleType())

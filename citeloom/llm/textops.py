@@ -5,14 +5,14 @@ Words are hashed straight from the UTF-8 buffer of an Arrow column, so no Python
 
 from __future__ import annotations
 
-import re
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from citeloom.operators.stages import materialise, shared_dir, written  # noqa: F401
+
 U = np.uint64
 #: ASCII white space: the word separators of ``[^\x20\x09-\x0D]+``.
 SPACE = np.zeros(256, bool)
@@ -21,26 +21,6 @@ _MASKS = np.array([(1 << (8 * n)) - 1 for n in range(8)] + [(1 << 64) - 1], dtyp
 _P = U(0x9E3779B97F4A7C15 | 1)
 
 
-#: Shuffle files of a finished write are removed at once, not when the driver happens to collect its garbage.
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder under spark.checkpoint.dir (or the context's checkpoint folder).
-
-    Where neither is set, a local master gets one in /tmp, as in tests; a cluster raises, as its machines share no /tmp.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        master = spark.sparkContext.master
-        if not re.fullmatch(r"local(\[.*\])?", master):
-            raise RuntimeError(f"spark.checkpoint.dir is not set, and {master} needs a shared folder")
-        base = "file:///tmp/checkpoints"
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
 class Scratch:
     """Tables in the shared folder that cut lineage. ``drop`` removes those that no later step reads."""
 
@@ -48,7 +28,7 @@ class Scratch:
         self.spark, self.paths = spark, {}
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        out, self.paths[name] = _written(df, name)
+        out, self.paths[name] = written(df, name)
         return out
 
     def drop(self, *names: str) -> None:
@@ -57,25 +37,6 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def _written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    spark, path = df.sparkSession, shared_dir(df.sparkSession, name)
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path), path
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage with a Parquet table in the shared folder, which the caller's result goes on reading."""
-    return _written(df, name)[0]
-
-
 def unused(docs: DataFrame, name: str) -> str:
     """``name``, with as many underscores after it as make it no column of ``docs``."""
     taken = {c.lower() for c in docs.columns}

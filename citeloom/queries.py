@@ -17,6 +17,7 @@ from citeloom.functions import identifiers as I
 from citeloom.functions import text as X
 from citeloom.matching import ranking, signals
 from citeloom.operators import audits, changes, keys, lists, relations
+from citeloom.operators.stages import materialise
 from citeloom.plans import works
 from citeloom.sources import records
 
@@ -571,20 +572,21 @@ def match_features(spark, d):
 # ---- raw records: JSON as the sources write it, made of orders (o), their customers (c) and days ------------------
 
 
-def _raw(spark, d, name: str, json: str, schema: str, values: dict[str, Column]) -> DataFrame:
+def _raw(spark, d, name: str, json: str, schema: str, values: dict[str, Column], where: str = "true") -> DataFrame:
     """Rows of ``schema`` parsed from the JSON text ``json``, in which $x stands for the value x."""
     parts = re.split(r"\$(\w)", json)
     text = F.concat(*[F.lit(p) if i % 2 == 0 else values[p].cast("string") for i, p in enumerate(parts)])
-    return table(spark, d, name).select(F.from_json(text, schema).alias("r")).select("r.*")
+    # rand() is never negative: it keeps Spark from pushing later filters below, each with a parse of its own
+    return table(spark, d, name).where(where).select(F.from_json(F.when(F.rand() >= 0, text), schema).alias("r")).select("r.*")
 
 
-def _orders_raw(spark, d, json: str, schema: str) -> DataFrame:
+def _orders_raw(spark, d, json: str, schema: str, where: str = "true") -> DataFrame:
     o, c = F.col("o_orderkey"), F.col("o_custkey")
     values = {
         "o": o, "c": c, "n": c % 5, "p": F.col("o_orderpriority"), "d": F.date_format("o_orderdate", "yyyy-MM-dd"),
         "s": F.when(o % 3 == 0, "2/DS").otherwise("1/O"), "x": F.when(o % 9 == 0, "true").otherwise("false"),
     }
-    return _raw(spark, d, "orders", json, schema, values)
+    return _raw(spark, d, "orders", json, schema, values, where)
 
 
 _OPENALEX = """{"id": "https://openalex.org/W$o", "doi": "https://doi.org/10.$s$o", "is_xpac": $x, "ids": {"mag": $o, "pmid": "https://pubmed.ncbi.nlm.nih.gov/$c"}, "title": "<i>$p</i> &amp; $o", "type": "book-chapter",
@@ -657,14 +659,27 @@ def records_dmps(spark, d):
     return r.select("doi", "title", F.col("project_start").cast("string").alias("begun"), F.col("project_end").cast("string").alias("ended"), institutions.alias("institutions"), _listed("authors", "surname").alias("authors"), funding.alias("funding"), _listed("published_outputs", "doi").alias("outputs"))
 
 
-def _release(spark, d) -> dict[str, DataFrame]:
-    """The whole index built from the raw records: every second order is in the second source, every third a deposit."""
-    openalex = records.openalex(_orders_raw(spark, d, _OPENALEX, records.OPENALEX))
-    datacite = records.datacite(_orders_raw(spark, d, _DATACITE, records.DATACITE)).where("regexp_replace(doi, '.*ds', '') % 3 = 0")
-    crossref = records.crossref(_orders_raw(spark, d, _CROSSREF, records.CROSSREF)).where("regexp_replace(doi, '.*o', '') % 2 = 0")
+def _release(spark, d, wanted: str) -> DataFrame:
+    """An index of the whole release, built from the raw records: every second order is in the second source, every third a deposit.
+
+    Each source is parsed once and written, in the columns that the wanted index reads, as its models read it many times.
+    """
+    reads = {
+        "datacite_index": {"openalex": ["doi", "updated_date", "awards"], "crossref": ["doi", "relations"]},
+        "openalex_index": {"datacite": ["doi", "relations"]},
+    }[wanted]
+    sources = {
+        "openalex": records.openalex(_orders_raw(spark, d, _OPENALEX, records.OPENALEX)),
+        "datacite": records.datacite(_orders_raw(spark, d, _DATACITE, records.DATACITE, "o_orderkey % 3 = 0")),
+        "crossref": records.crossref(_orders_raw(spark, d, _CROSSREF, records.CROSSREF, "o_orderkey % 2 = 0")),
+    }
+    sources = {name: materialise(df.select(*reads.get(name, df.columns)), name) for name, df in sources.items()}
     places = table(spark, d, "region").select(F.concat(F.lit("https://ror.org/0a"), F.col("r_regionkey").cast("string")).alias("id"), F.array().cast("array<struct<type:string,all_ids:array<string>>>").alias("external_ids"))
     cited = table(spark, d, "orders").where("o_orderkey % 3 = 0").select(F.concat(F.lit("https://doi.org/10.2/DS"), F.col("o_orderkey").cast("string")).alias("dataset"), F.concat(F.lit("10.1/o"), (F.col("o_orderkey") + 1).cast("string")).alias("publication"), F.lit("s").alias("source"))
-    return works.Release(openalex, datacite, crossref, places, cited, RELEASE).build()
+    related = works.relation_index(sources["crossref"], sources["datacite"], cited)
+    if wanted == "datacite_index":
+        return works.datacite_index(sources["datacite"], sources["openalex"], works.ror_identifiers(places), related)
+    return works.openalex_index(sources["openalex"], sources["datacite"], sources["crossref"], related)
 
 
 def _flat(index: DataFrame) -> DataFrame:
@@ -679,8 +694,8 @@ def _flat(index: DataFrame) -> DataFrame:
 array_to_string(list_sort([CAST(o AS VARCHAR), 'X' || n] || CASE WHEN o % 9 = 0 THEN [] ELSE ['A' || o, 'B' || n] END), ',') AS awards, '0000-0001-2345-6789' AS authors, '10.1/o' || (o + 1) AS cited,
 'https://commons.datacite.org/doi.org/' || doi AS url FROM ({_FACTS}) WHERE o % 3 = 0""")
 def datacite_index(spark, d):
-    """The deposits' index by works.Release: latest dates, institutions by registry id, awards of both sources, citations."""
-    return _flat(_release(spark, d)["datacite_index"])
+    """The deposits' index by works.datacite_index: latest dates, institutions by registry id, awards of both sources, citations."""
+    return _flat(_release(spark, d, "datacite_index"))
 
 
 @query(f"""SELECT doi, CASE WHEN o % 2 = 0 THEN 'A longer title of order ' || o || ' than the other source has' ELSE p || ' &amp; ' || o END AS title, 'Hello ' || p || ' ' || p AS abstract_text, 'BOOK_CHAPTER' AS work_type,
@@ -688,4 +703,4 @@ d || ' 01:02:03' AS updated, 'U' || n || ':0a' || n AS institutions, array_to_st
 CASE WHEN o % 3 = 1 AND EXISTS (SELECT 1 FROM orders q WHERE q.o_orderkey = o - 1) THEN '10.2/ds' || (o - 1) ELSE '' END AS cited, 'https://openalex.org/works/w' || o AS url FROM ({_FACTS}) WHERE o % 3 <> 0""")
 def openalex_index(spark, d):
     """The other works' index: the longer of two sources' texts, latest dates, awards of both, citations."""
-    return _flat(_release(spark, d)["openalex_index"])
+    return _flat(_release(spark, d, "openalex_index"))

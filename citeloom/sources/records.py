@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.functions.identifiers import any_filled, clean, doi_in, doi_with_prefix, first_present, iso_date, iso_timestamp, null_if_listed, orcid_in, ror_in, split_list, without_hosts
+from citeloom.functions.identifiers import any_filled, clean, doi_in, doi_with_prefix, first_present, has_doi, iso_date, iso_timestamp, null_if_listed, orcid_in, ror_in, split_list, without_hosts
 from citeloom.functions.text import MISSING_ABSTRACT, MISSING_DEPOSIT_ABSTRACT, names_in, nfc_in, revert_inverted_index, strip_markup
 
 OPENALEX = """id string, doi string, is_xpac boolean, ids struct<mag:string,openalex:string,pmid:string,pmcid:string,doi:string>, title string,
@@ -65,7 +65,7 @@ def _authors(df: DataFrame, people: Column, ids: Column) -> DataFrame:
 
 def openalex(raw: DataFrame, with_xpac: bool = False) -> DataFrame:
     """Rows with a DOI; works of the extended corpus only on demand."""
-    df = raw.withColumn("_doi", doi_in("doi")).where("_doi IS NOT NULL")
+    df = raw.where(has_doi("doi")).withColumn("_doi", doi_in("doi"))
     if not with_xpac:
         df = df.where("NOT coalesce(is_xpac, false)")
     people = F.transform(_list(F.col("authorships"), "array<struct<author:struct<display_name:string,orcid:string>,institutions:array<struct<display_name:string,ror:string>>>>"), lambda a: a["author"])
@@ -94,7 +94,7 @@ def openalex(raw: DataFrame, with_xpac: bool = False) -> DataFrame:
 
 def datacite(raw: DataFrame) -> DataFrame:
     """Rows with a DOI. Authors and institutions come from personal creators; a funder counts once per award number."""
-    df = raw.withColumn("_doi", doi_in("id")).where("_doi IS NOT NULL")
+    df = raw.where(has_doi("id")).withColumn("_doi", doi_in("id"))
     people = F.filter("attributes.creators", lambda c: c["nameType"] == "Personal")
     df = df.withColumn("_people", _list(people, "array<struct<name:string,nameType:string,givenName:string,familyName:string,nameIdentifiers:string,affiliation:string>>"))
     ids = F.transform("_people", lambda p: F.get(F.filter(F.transform(_object_or_array(p["nameIdentifiers"], "struct<nameIdentifier:string>"), lambda n: orcid_in(n["nameIdentifier"])), lambda x: x.isNotNull()), 0))
@@ -125,7 +125,7 @@ def datacite(raw: DataFrame) -> DataFrame:
 
 def crossref(raw: DataFrame) -> DataFrame:
     """Rows with a DOI. A funder counts once per award; a relation's id_type is 'doi' exactly if a DOI was found in it."""
-    df = raw.withColumn("_doi", doi_in("DOI")).where("_doi IS NOT NULL")
+    df = raw.where(has_doi("DOI")).withColumn("_doi", doi_in("DOI"))
     df = df.withColumn("_f", F.filter("funder", lambda f: f["award"].isNotNull()))
     df = df.withColumn("_fd", _dois_in(F.transform("_f", lambda f: f["DOI"])))
     numbers = lambda f: F.flatten(F.transform(F.array_compact(f["award"]), lambda a: split_list(a)))
