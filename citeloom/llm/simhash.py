@@ -164,60 +164,123 @@ def _hashes(packed: pa.Scalar) -> np.ndarray:
 
 
 def _agree(least: float) -> Callable:
-    """Keep the pairs whose shingle sets have a Jaccard similarity of at least ``least``."""
+    """Links (u, v) of rows (key, id, mates, shingles) in order of key: members of one key that are listed as mates and
+    whose shingle sets have a Jaccard similarity of at least ``least``; of pairs connected within a key, only as many as connect them."""
+
+    def links(ids: list[int], mates: list[list[int]], sets: list[pa.Scalar]) -> list[tuple[int, int]]:
+        packed, root, made, out = dict(zip(ids, sets)), {i: i for i in ids}, {}, []
+
+        def top(i: int) -> int:
+            while root[i] != i:
+                root[i] = i = root[root[i]]
+            return i
+
+        def hashes(i: int) -> np.ndarray:
+            if i not in made:
+                made[i] = _hashes(packed[i])
+            return made[i]
+
+        size = {i: len(x.as_buffer()) // 6 for i, x in packed.items()}
+        for u, near in zip(ids, mates):
+            for v in near:
+                fewer, more = sorted((size[u], size[v]))
+                if fewer < least * more or top(u) == top(v):
+                    continue
+                both = len(np.intersect1d(hashes(u), hashes(v), assume_unique=True))
+                if both >= least * max(1, fewer + more - both):
+                    root[max(top(u), top(v))] = min(top(u), top(v))
+                    out.append((u, v))
+        return out
+
+    def table(out: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, ids, mates, sets = None, [], [], []
         for b in batches:
-            keep = []
-            for x, y in zip(b.column(b.schema.get_field_index("a")), b.column(b.schema.get_field_index("b"))):
-                x, y = _hashes(x), _hashes(y)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= least * max(1, len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(c)) for c in "uv"], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
+            out = []
+            for key, i, near, own in zip(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in ("key", "id", "mates")), b.column(b.schema.get_field_index("shingles"))):
+                if key != last:
+                    out += links(ids, mates, sets)
+                    last, ids, mates, sets = key, [], [], []
+                ids.append(i)
+                mates.append(near)
+                sets.append(own)
+            yield table(out)
+        yield table(links(ids, mates, sets))
 
     return run
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, tried: list[DataFrame], words: int, least: float, name: str, step: Scratch) -> DataFrame:
-    """The pairs (u, v) that were not ``tried`` before and whose shingle sets are similar enough, written.
+def _holding(docs: DataFrame, wanted: DataFrame, most_bits: int = 1 << 27) -> DataFrame:
+    """The rows of ``docs`` whose id is in ``wanted`` (id, repeats allowed), and about one in 70 of the others.
 
-    One of the two sets travels for each pair. The pairs, written too, are added to ``tried``. The ids to be compared are
-    written before the texts are read, so that Spark knows their size and shuffles no texts where they are few.
+    The ids are two bits each of one broadcast row, of 16 bits an id and ``most_bits`` at most, so that no text is shuffled.
     """
-    if tried:
-        pairs = pairs.join(reduce(DataFrame.unionByName, tried), ["u", "v"], "left_anti")
-    pairs = step.keep(pairs, f"{name}-pairs")
-    tried.append(pairs)
-    wanted = pairs.select(F.col("u").alias("id")).distinct().unionByName(pairs.select(F.col("v").alias("id")).distinct()).distinct()
-    wanted = step.keep(wanted, f"{name}-ids")
-    sets = step.keep(docs.join(wanted, "id", "left_semi").mapInArrow(_sets(words), "id long, shingles binary"), f"{name}-sets")
-    full = pairs.join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v").select("u", "v", "a", "b")
+    n = min(most_bits, 1 << max(10, (16 * wanted.count()).bit_length()))
+    h = F.xxhash64("id")
+    at = F.array(h.bitwiseAND(F.lit(n - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(n - 1)))
+    bit = F.expr("shiftleft(1L, cast(at & 63 as int))")
+    set_bits = wanted.distinct().select(F.explode(at).alias("at")).select(F.shiftright("at", 6).alias("word"), bit.alias("bits"))
+    words = docs.sparkSession.range(n >> 6).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
+    words = set_bits.unionByName(words).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    row = words.agg(F.array_sort(F.collect_list(F.struct("word", "bits")))["bits"].alias("_bits"))
+    there = [F.getbit(F.get("_bits", F.shiftright(at[i], 6).cast("int")), at[i].bitwiseAND(F.lit(63)).cast("int")) == 1 for i in (0, 1)]
+    return docs.join(F.broadcast(row), there[0] & there[1]).drop("_bits")
+
+
+def _verified(docs: DataFrame, groups: DataFrame, words: int, least: float, name: str, step: Scratch) -> DataFrame:
+    """Links (u, v), written, that connect whatever pairs of ``groups`` have shingle sets that are similar enough.
+
+    groups: rows (key, id, mates), where mates are ids of other rows of the key. A set travels once for each row, however
+    many mates are compared with it; the pairs are compared where a key's rows are and never become rows themselves.
+    """
+    groups = step.keep(groups, f"{name}-groups")
+    sets = _holding(docs, groups.select("id")).mapInArrow(_sets(words), "id long, shingles binary")
+    full = groups.join(sets, "id").select("key", "id", "mates", "shingles").repartition("key").sortWithinPartitions("key")
     links = step.keep(full.mapInArrow(_agree(least), "u long, v long"), f"{name}-links")
-    step.drop(f"{name}-sets", f"{name}-ids")
+    step.drop(f"{name}-groups")
     return links
 
 
 def _met(rows: DataFrame, near: Callable[[Column, Column], Column], block: int, name: str, step: Scratch) -> DataFrame:
-    """Distinct pairs (u, v) of ids of different classes under one value, from rows (value, id, class, mark).
+    """Groups (key, id, mates) of ids of different classes under one value, from rows (value, id, class, mark).
 
-    Pairs are refused where near(mark, mark) is false. A value of more than ``block`` rows is dealt into blocks, and
-    every two of them meet, so that no group is gathered whole; rows of one block meet only in the group of that block alone.
+    mates are the smaller ids that near(mark, mark) does not refuse; a member without any, in its list or others', is left out.
+    A value of more than ``block`` rows is dealt into blocks, and every two of them meet, so that no group is gathered
+    whole; rows of one block meet only in the group of that block alone.
     """
     rows = rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("value")))
     rows = step.keep(rows.where("n > 1"), f"{name}-met")
     member = F.collect_list(F.struct("id", "class", "mark", "own")).alias("g")
-    small = rows.where(F.col("n") <= block).withColumn("own", F.lit(0).cast("long")).groupBy("value").agg(member).withColumn("lone", F.lit(True))
+    none = F.lit(-1).cast("long")
+    small = rows.where(F.col("n") <= block).withColumn("own", F.lit(0).cast("long")).groupBy("value").agg(member)
+    small = small.select("value", none.alias("_a"), none.alias("_b"), "g", F.lit(True).alias("lone"))
     parts = F.ceil(F.col("n") / block)
     large = rows.where(F.col("n") > block).withColumn("own", F.pmod(F.xxhash64("id"), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
     large = large.groupBy("value", F.least("own", "other").alias("_a"), F.greatest("own", "other").alias("_b")).agg(member)
-    large = large.select("value", "g", (F.col("_a") == F.col("_b")).alias("lone"))
+    large = large.select("value", "_a", "_b", "g", (F.col("_a") == F.col("_b")).alias("lone"))
 
     def mates(x: Column) -> Column:
         fit = F.filter("g", lambda y: (x["id"] > y["id"]) & (x["class"] != y["class"]) & (F.col("lone") | (x["own"] != y["own"])) & F.coalesce(near(x["mark"], y["mark"]), F.lit(True)))
-        return F.transform(fit, lambda y: F.struct(x["id"].alias("u"), y["id"].alias("v")))
+        return F.struct(x["id"].alias("id"), F.transform(fit, lambda y: y["id"]).alias("mates"))
+
+    def paired(g: Column) -> Column:
+        listed = F.array(F.array_distinct(F.flatten(g["mates"])))
+        return F.flatten(F.transform(listed, lambda ids: F.filter(g, lambda x: (F.size(x["mates"]) > 0) | F.array_contains(ids, x["id"]))))
+
+    # arrays of one element give names to what would be evaluated twice
+    found = F.flatten(F.transform(F.array(F.transform("g", mates)), paired))
+    groups = small.unionByName(large).select(F.xxhash64("value", "_a", "_b").alias("key"), F.explode(found).alias("m"))
+    return groups.select("key", "m.id", "m.mates")
 
-    pairs = small.unionByName(large).select(F.explode(F.flatten(F.transform("g", mates))).alias("p"))
-    return pairs.select("p.u", "p.v").distinct()
+
+def _stars(pairs: DataFrame, block: int) -> DataFrame:
+    """Groups (key, id, mates) of the distinct pairs (u, v, n): each u with its v, about ``block`` of n to a key."""
+    parts = F.ceil(F.col("n") / block)
+    stars = pairs.select(F.xxhash64("v", parts, F.pmod(F.xxhash64("u"), parts)).alias("key"), "u", "v")
+    heads = stars.select("key", F.col("v").alias("id")).distinct().withColumn("mates", F.array().cast("array<long>"))
+    return stars.select("key", F.col("u").alias("id"), F.array("v").alias("mates")).unionByName(heads)
 
 
 def _once(x: Column, y: Column, value: Column) -> Column:
@@ -271,9 +334,8 @@ def similar_classes(docs: DataFrame, words: int = 5, least: float = 0.8, tables:
 
     early = leads.select("id", F.explode(F.slice("bases", 1, 3)).alias("base"))
     heads = step.keep(early.groupBy("base").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1"), "heads")
-    pairs = early.join(heads, "base").where("id > head").select(F.col("id").alias("u"), F.col("head").alias("v")).distinct()
-    tried: list[DataFrame] = []
-    found = [_verified(docs, pairs, tried, words, least, "early", step)]
+    pairs = early.join(heads, "base").where("id > head").groupBy(F.col("id").alias("u"), F.col("head").alias("v")).agg(F.max("n").alias("n"))
+    found = [_verified(docs, _stars(step.keep(pairs, "pairs"), block), words, least, "early", step)]
     units = step.keep(_classed(leads.withColumn("class", F.col("id")), found), "units")
 
     share = np.arccos(2 * least / (1 + least)) / np.pi  # of the bits, expected to differ at the least similarity
@@ -288,12 +350,12 @@ def similar_classes(docs: DataFrame, words: int = 5, least: float = 0.8, tables:
         chosen = F.min_by(F.struct("id", "mark"), F.xxhash64("id", "base")).alias("s")
         rows = rows.groupBy("base", "class").agg(chosen).select(F.posexplode(ball).alias("at", "value"), "s.id", "class", "s.mark")
         rows = rows.select("value", "id", "class", F.struct("mark.a", "mark.b", (F.col("at") - 1).cast("byte").alias("bit")).alias("mark"))
-        found = [_verified(docs, _met(rows, lambda x, y: _once(x["bit"], y["bit"], F.col("value")) & F.coalesce(alike(x, y), F.lit(True)), block, f"table{at}", step), tried, words, least, f"table{at}", step)]
+        found = [_verified(docs, _met(rows, lambda x, y: _once(x["bit"], y["bit"], F.col("value")) & F.coalesce(alike(x, y), F.lit(True)), block, f"table{at}", step), words, least, f"table{at}", step)]
         units = step.keep(_classed(units, found), f"units{at}")
         step.drop(f"table{at}-met")
     sized = lambda x, y: F.least(x, y) >= F.greatest(x, y) * least - 1e-9
-    found = [_verified(docs, _met(_prefixes(units, least, step), sized, block, "short", step), tried, words, least, "short", step)]
-    step.drop("short-met", "common", "units", "heads")
+    found = [_verified(docs, _met(_prefixes(units, least, step), sized, block, "short", step), words, least, "short", step)]
+    step.drop("short-met", "common", "units", "heads", "pairs")
 
     classes = _classed(units.select("id", "class"), found).select(F.col("id").alias("first"), F.col("class").alias("class_id"))
     classes = firsts.join(classes, "first").select("folded", "class_id")

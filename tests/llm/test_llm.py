@@ -188,6 +188,24 @@ def test_recall_of_similar_classes(spark):
     assert all(want[i] == want[c] for i, c in got.items())  # nothing dissimilar is joined
 
 
+def test_a_crowd_is_compared_by_a_row_per_member(spark):
+    """60 texts under one value, 1,770 pairs: every pair is listed once, in a row per member and group, and few links join them."""
+    step, n = simhash.Scratch(spark), 60
+    rows = spark.range(n).selectExpr("7L as value", "id", "id as class", "0L as mark")
+    for block, most in ((128, n), (16, 5 * n)):
+        groups = simhash._met(rows, lambda x, y: x == y, block, f"crowd{block}", step).collect()
+        listed = sorted((r["id"], m) for r in groups for m in r["mates"])
+        assert listed == [(u, v) for u in range(n) for v in range(u)]
+        assert len(groups) <= most
+        assert all({m for r in groups if r["key"] == k for m in r["mates"]} <= {r["id"] for r in groups if r["key"] == k} for k in {r["key"] for r in groups})
+    texts = spark.range(5000).selectExpr("id", f"if(id < {n}, 'one text of seven words for all', concat('text ', id)) as text")
+    groups = simhash._met(rows, lambda x, y: x == y, 128, "crowd", step)
+    links = simhash._verified(texts, groups, 5, 0.8, "crowd", step).collect()
+    assert len(links) == n - 1 and {x for r in links for x in r} == set(range(n))
+    held = {r["id"] for r in simhash._holding(texts, groups.select("id")).collect()}
+    assert set(range(n)) <= held and len(held) < 400
+
+
 def test_tokens_equal_the_tokenizer():
     from tokenizers import Tokenizer
 
