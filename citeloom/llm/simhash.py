@@ -340,17 +340,20 @@ def similar_classes(docs: DataFrame, words: int = 5, least: float = 0.8, tables:
 
     share = np.arccos(2 * least / (1 + least)) / np.pi  # of the bits, expected to differ at the least similarity
     apart = int(128 * share + spread * (128 * share * (1 - share)) ** 0.5)
-    alike = lambda x, y: F.bit_count(x["a"].bitwiseXOR(y["a"])) + F.bit_count(x["b"].bitwiseXOR(y["b"])) <= apart
+    bits_alike = lambda x, y: F.bit_count(x["a"].bitwiseXOR(y["a"])) + F.bit_count(x["b"].bitwiseXOR(y["b"])) <= apart
+    alike = lambda x, y: F.when(x["b"].isNull() | y["b"].isNull(), x["b"].isNotNull() | y["b"].isNotNull()).otherwise(bits_alike(x, y))
+    # texts whose shingles are at hand meet each other below, all of them; here only those whose size allows a mate of more
+    wide = (F.size("checks") > 0) | (F.size("shingles") >= least * (int(short / least) + 1) - 1e-9)
     mark = F.struct(F.get("checks", F.lit(0)).alias("a"), F.get("checks", F.lit(1)).alias("b")).alias("mark")
     base = F.col("base")
     ball = F.array(base, *[base.bitwiseXOR(F.lit(1 << b).cast("long")) for b in range(bits)])
     for at in [0, *range(1, tables, batch)]:
-        rows = units.select("id", "class", mark, F.explode(F.slice("bases", at + 1, batch if at else 1)).alias("base"))
+        rows = units.where(wide).select("id", "class", mark, F.explode(F.slice("bases", at + 1, batch if at else 1)).alias("base"))
         # of one class under one fingerprint, one goes on: another in another table
         chosen = F.min_by(F.struct("id", "mark"), F.xxhash64("id", "base")).alias("s")
         rows = rows.groupBy("base", "class").agg(chosen).select(F.posexplode(ball).alias("at", "value"), "s.id", "class", "s.mark")
         rows = rows.select("value", "id", "class", F.struct("mark.a", "mark.b", (F.col("at") - 1).cast("byte").alias("bit")).alias("mark"))
-        found = [_verified(docs, _met(rows, lambda x, y: _once(x["bit"], y["bit"], F.col("value")) & F.coalesce(alike(x, y), F.lit(True)), block, f"table{at}", step), words, least, f"table{at}", step)]
+        found = [_verified(docs, _met(rows, lambda x, y: _once(x["bit"], y["bit"], F.col("value")) & alike(x, y), block, f"table{at}", step), words, least, f"table{at}", step)]
         units = step.keep(_classed(units, found), f"units{at}")
         step.drop(f"table{at}-met")
     sized = lambda x, y: F.least(x, y) >= F.greatest(x, y) * least - 1e-9
