@@ -5,9 +5,9 @@ fingerprint is sent under all 65 values of its radius-1 ball; those that meet un
 each other. Only distinct fingerprints travel, a value's group has at most 65 members whatever the input, and each
 member is linked to the smallest of its group, which keeps every component whole without emitting all pairs.
 
-Near duplicates of a stated similarity (``similar_classes``) need more bits than one small ball holds, and there members
-of a group need not be similar. They are ball-hashed in several tables of fewer bits, and every pair of members that are
-not known to be of one class is verified by its exact shingle sets.
+Near duplicates of a stated similarity (``similar_classes``) are joined first where fingerprints of fewer bits are equal,
+which brings large groups of near copies together. Whatever pair is left then meets by signatures that similar sets must
+share, and every pair of members that are not known to be of one class is verified by its exact shingle sets.
 """
 
 from __future__ import annotations
@@ -122,26 +122,74 @@ def sketch(shingles: np.ndarray, bits: int) -> np.ndarray:
     return (2 * count[:bits] > len(shingles)).astype(np.uint8)
 
 
-_MADE = "id long, folded binary, checks array<long>, bases array<long>, shingles array<long>"
+_MADE = "id long, folded binary, bases array<long>, mark array<long>, signatures array<long>"
+#: Bits of a set's parity bitmap, in longs. Two sets differ in as many elements as their bitmaps in bits, or more.
+_PARITY = 8
 
 
-def _sketches(words: int, least: float, tables: int, bits: int, short: int) -> Callable:
+def _sizes(least: float, most: int) -> list[int]:
+    """Largest sizes of the size classes, from class 0 (empty sets) on, until the last but one holds ``most``.
+
+    A set of class c is similar to none that is larger than those of class c + 1.
+    """
+    tops = [0, 1]
+    while tops[-2] < most:
+        tops.append(max(tops[-1] + 1, int(tops[-1] / least + 1e-6)))
+    return tops
+
+
+def signatures(shingles: np.ndarray, least: float, tops: list[int]) -> np.ndarray:
+    """Hashes of parts of a set (sorted, distinct), so chosen that sets of Jaccard similarity ``least`` or more share one.
+
+    Two such sets differ in at most d = (|A| + |B|)(1 - least)/(1 + least) elements. The range of the hashes is cut into m > d
+    parts, the same for all sets of one size class and for those of the class below as their smaller mates. Then at least
+    m - d parts are equal in both, so the first d + 1 parts of each in any common order have one in common. The order is by
+    the number of elements, larger first, so that what is shared are several elements spread over the set.
+    """
+    n, gap = len(shingles), (1 - least) / (1 + least)
+    if not n:
+        return np.zeros(0, np.uint64)
+    own, out = int(np.searchsorted(tops, n)), []
+    with np.errstate(over="ignore"):
+        sums = np.r_[np.uint64(0), np.cumsum(mix(shingles * np.uint64(_SPREAD[1])), dtype=np.uint64)]
+        for c in (own, own + 1):
+            mate = min(tops[c], int(n / least + 1e-6))
+            if c > own and mate <= tops[own]:
+                continue
+            parts = int(2 * tops[c] * gap + 1e-6) + 1
+            parts = parts if parts == 1 else -(-6 * parts // 5)  # beyond d + 1, the smallest of the parts are left out
+            at = ((shingles >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+            size = np.bincount(at, minlength=parts)
+            ends = np.cumsum(size)
+            value = mix(sums[ends] - sums[ends - size] + np.arange(parts, dtype=np.uint64) * np.uint64(_SPREAD[2]) + np.uint64(c) * np.uint64(_SPREAD[3]))
+            out.append(value[np.lexsort((value, -size))[: int((n + mate) * gap + 1e-6) + 1]])
+    return np.unique(np.concatenate(out))
+
+
+def _mark(shingles: np.ndarray) -> np.ndarray:
+    """The set's size and parity bitmap."""
+    odd = np.bincount((shingles & np.uint64(64 * _PARITY - 1)).astype(np.int64), minlength=64 * _PARITY) & 1
+    return np.r_[len(shingles), np.packbits(odd.astype(np.uint8)).view(np.int64)]
+
+
+def _sketches(words: int, least: float, tables: int, bits: int) -> Callable:
     place = (1 << np.arange(bits, dtype=np.int64))[::-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tops = [0, 1]
         for b in small_batches(batches):
-            folded, checks, bases, own = [], [], [], []
+            folded, lists = [], ([], [], [])
             for t in b.column(b.schema.get_field_index("text")).to_pylist():
                 shingles = shingle_set(t, words)
-                s = sketch(shingles, tables * bits)
+                if tops[-2] < len(shingles):
+                    tops = _sizes(least, 2 * len(shingles))
                 folded.append(xxhash.xxh3_128_digest(b" ".join((t or "").encode().lower().split())))
-                bases.append((s.reshape(tables, bits) @ place + (np.arange(tables, dtype=np.int64) << bits)).tolist())
-                # the sketch's first and last 64 bits; of texts of few shingles, these themselves, as negative numbers
-                few = len(shingles) <= short / least
-                checks.append([] if few else [int.from_bytes(np.packbits(x).tobytes(), "big", signed=True) for x in (s[:64], s[-64:])])
-                own.append((-1 - (shingles >> np.uint64(2)).astype(np.int64)).tolist() if few else [])
-            lists = [pa.array(x, pa.list_(pa.int64())) for x in (checks, bases, own)]
-            yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index("id")), pa.array(folded, pa.binary()), *lists], ["id", "folded", "checks", "bases", "shingles"])
+                made = sketch(shingles, tables * bits).reshape(tables, bits) @ place + (np.arange(tables, dtype=np.int64) << bits)
+                for kept, x in zip(lists, (made, _mark(shingles), signatures(shingles, least, tops).view(np.int64))):
+                    kept.append(x)
+            ends = [np.cumsum([0, *map(len, x)]).astype(np.int32) for x in lists]
+            arrays = [pa.ListArray.from_arrays(pa.array(e), pa.array(np.concatenate(x), pa.int64())) for e, x in zip(ends, lists)]
+            yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index("id")), pa.array(folded, pa.binary()), *arrays], ["id", "folded", "bases", "mark", "signatures"])
 
     return run
 
@@ -212,10 +260,10 @@ def _agree(least: float) -> Callable:
     return run
 
 
-def _holding(docs: DataFrame, wanted: DataFrame, most_bits: int = 1 << 27) -> DataFrame:
-    """The rows of ``docs`` whose id is in ``wanted`` (id, repeats allowed), and about one in 70 of the others.
+def _maybe(docs: DataFrame, wanted: DataFrame, most_bits: int = 1 << 27) -> DataFrame:
+    """``docs`` with a column _maybe: true where the id is in ``wanted`` (id, repeats allowed), and for about one in 70 of the others.
 
-    The ids are two bits each of one broadcast row, of 16 bits an id and ``most_bits`` at most, so that no text is shuffled.
+    The ids are two bits each of one broadcast row, of 16 bits an id and ``most_bits`` at most, so that no row of ``docs`` is shuffled.
     """
     n = min(most_bits, 1 << max(10, (16 * wanted.count()).bit_length()))
     h = F.xxhash64("id")
@@ -226,7 +274,12 @@ def _holding(docs: DataFrame, wanted: DataFrame, most_bits: int = 1 << 27) -> Da
     words = set_bits.unionByName(words).groupBy("word").agg(F.bit_or("bits").alias("bits"))
     row = words.agg(F.array_sort(F.collect_list(F.struct("word", "bits")))["bits"].alias("_bits"))
     there = [F.getbit(F.get("_bits", F.shiftright(at[i], 6).cast("int")), at[i].bitwiseAND(F.lit(63)).cast("int")) == 1 for i in (0, 1)]
-    return docs.join(F.broadcast(row), there[0] & there[1]).drop("_bits")
+    return docs.crossJoin(F.broadcast(row)).withColumn("_maybe", there[0] & there[1]).drop("_bits")
+
+
+def _holding(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is in ``wanted`` (id, repeats allowed), and about one in 70 of the others."""
+    return _maybe(docs, wanted).where("_maybe").drop("_maybe")
 
 
 def _verified(docs: DataFrame, groups: DataFrame, words: int, least: float, name: str, step: Scratch) -> DataFrame:
@@ -248,16 +301,23 @@ def _met(rows: DataFrame, near: Callable[[Column, Column], Column], block: int,
 
     mates are the smaller ids that near(mark, mark) does not refuse; a member without any, in its list or others', is left out.
     A value of more than ``block`` rows is dealt into blocks, and every two of them meet, so that no group is gathered
-    whole; rows of one block meet only in the group of that block alone.
+    whole; rows of one block meet only in the group of that block alone. Blocks of a class that has more than ``block`` of
+    the value's rows meet those of other rows only.
     """
-    rows = rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("value")))
-    rows = step.keep(rows.where("n > 1"), f"{name}-met")
-    member = F.collect_list(F.struct("id", "class", "mark", "own")).alias("g")
+    value = Window.partitionBy("value")
+    rows = rows.withColumn("n", F.count(F.lit(1)).over(value)).withColumn("of", F.count(F.lit(1)).over(Window.partitionBy("value", "class")))
+    rows = rows.withColumn("most", F.max(F.struct("of", "class")).over(value)).where(F.col("of") < F.col("n"))
+    main = (F.col("most.of") > block) & (F.col("class") == F.col("most.class"))
+    rows = step.keep(rows.select("value", "id", "class", "mark", "n", F.when(F.col("most.of") > block, F.col("most.of")).otherwise(0).alias("main_n"), main.alias("main")), f"{name}-met")
+    member = F.collect_list(F.struct("id", "class", "mark", "own", "main")).alias("g")
     none = F.lit(-1).cast("long")
     small = rows.where(F.col("n") <= block).withColumn("own", F.lit(0).cast("long")).groupBy("value").agg(member)
     small = small.select("value", none.alias("_a"), none.alias("_b"), "g", F.lit(True).alias("lone"))
-    parts = F.ceil(F.col("n") / block)
-    large = rows.where(F.col("n") > block).withColumn("own", F.pmod(F.xxhash64("id"), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    parts, mains = F.ceil((F.col("n") - F.col("main_n")) / block), F.ceil(F.col("main_n") / block)
+    # blocks of the main class are numbered after the others
+    others = F.sequence(F.lit(0).cast("long"), F.when(F.col("main"), parts).otherwise(parts + mains) - 1)
+    large = rows.where(F.col("n") > block).withColumn("own", F.when(F.col("main"), parts + F.pmod(F.xxhash64("id"), mains)).otherwise(F.pmod(F.xxhash64("id"), parts)))
+    large = large.withColumn("other", F.explode(others))
     large = large.groupBy("value", F.least("own", "other").alias("_a"), F.greatest("own", "other").alias("_b")).agg(member)
     large = large.select("value", "_a", "_b", "g", (F.col("_a") == F.col("_b")).alias("lone"))
 
@@ -283,24 +343,6 @@ def _stars(pairs: DataFrame, block: int) -> DataFrame:
     return stars.select("key", F.col("u").alias("id"), F.array("v").alias("mates")).unionByName(heads)
 
 
-def _once(x: Column, y: Column, value: Column) -> Column:
-    """Whether a pair that meets under ``value``, bits x and y (-1: none) away from it, meets under no smaller value.
-
-    Fingerprints that differ in one or two bits meet under two values, equal ones under their whole ball: there under themselves.
-    """
-    top = F.greatest(x, y).cast("int")
-    return F.when(x == y, x < 0).otherwise(F.getbit(value, F.greatest(top, F.lit(0))) == 0)
-
-
-def _prefixes(units: DataFrame, least: float, step: Scratch) -> DataFrame:
-    """value, id, class, mark (the set's size): of each short text its rarest shingles, so many that similar sets share one."""
-    each = units.select("id", "class", F.size("shingles").cast("long").alias("mark"), F.explode("shingles").alias("value"))
-    common = step.keep(each.groupBy("value").agg(F.count(F.lit(1)).alias("many")).where("many > 1"), "common")
-    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.coalesce("many", F.lit(1)), "value"))
-    ranked = each.join(common, "value", "left").withColumn("rank", rank)
-    return ranked.where(F.col("rank") <= F.col("mark") - F.ceil(F.col("mark") * least - 1e-9) + 1).where("many > 1").select("value", "id", "class", "mark")
-
-
 def _classed(units: DataFrame, links: list[DataFrame]) -> DataFrame:
     """``units`` (id, class and more) with the classes that the links between ids join merged, each named by the smallest."""
     names = units.select("id", "class")
@@ -309,59 +351,67 @@ def _classed(units: DataFrame, links: list[DataFrame]) -> DataFrame:
     return units.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("class", F.coalesce("root", "class")).drop("root")
 
 
-def similar_classes(docs: DataFrame, words: int = 5, least: float = 0.8, tables: int = 13, bits: int = 28, batch: int = 4, short: int = 48, block: int = 128, spread: float = 3.0) -> DataFrame:
+def _counted(pairs: DataFrame) -> DataFrame:
+    """The distinct pairs (u, v) with n, the number of those of v."""
+    return pairs.join(pairs.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "v").select("u", "v", "n")
+
+
+def similar_classes(docs: DataFrame, words: int = 5, least: float = 0.8, tables: int = 3, bits: int = 28, block: int = 128) -> DataFrame:
     """id, class_id for documents (id long, text) whose sets of word shingles are similar by at least ``least`` (Jaccard).
 
     ids must be distinct; the class id is the smallest id of those connected. Null and wordless texts are one class.
 
     1. Texts equal but for case and white space are one from here on.
-    2. Of each text, ``tables`` fingerprints of ``bits`` bits are drawn. In the first three tables, texts of one fingerprint
-       are verified against the smallest of them. This joins large groups of near copies with few pairs.
-    3. Table by table, each fingerprint and class is spread over its radius-1 ball, so that those within two bits meet; so
-       do texts of up to ``short`` shingles under the rarest of their shingles, which misses none. All members of different
-       classes that meet are compared by 128 bits of their sketches, which ``spread`` standard deviations beyond the bits
-       expected at ``least`` refuse (3: one pair in 700 at that similarity), then by their exact sets. The first table
-       goes alone, as what it joins need not be compared again, then ``batch`` at a time, so that one batch's shuffle is on
-       disk at once.
-
-    A pair of long texts at 0.8 meets in some table with a chance of 0.92, at 0.85 of 0.99, at 0.9 of 0.9996 (README).
+    2. Of each text, ``tables`` SimHash fingerprints of ``bits`` bits are drawn, and texts of one fingerprint are verified
+       against the smallest of them. This joins large groups of near copies with few pairs.
+    3. Texts that share a signature (``signatures``) are verified against the smallest of them, likewise.
+    4. All texts of different classes that share one are compared: by their sizes and parity bitmaps, which refuse no similar
+       pair, then by their exact sets. As similar sets always share a signature, no pair is missed.
     """
     step = Scratch(docs.sparkSession)
     docs = docs.select("id", "text")
-    made = step.keep(docs.mapInArrow(_sketches(words, least, tables, bits, short), _MADE), "sketches")
+    made = step.keep(docs.mapInArrow(_sketches(words, least, tables, bits), _MADE), "sketches")
     firsts = step.keep(made.groupBy("folded").agg(F.min("id").alias("first")), "firsts")
-    leads = made.join(firsts.select(F.col("first").alias("id")), "id", "left_semi").select("id", "checks", "bases", "shingles")
-
-    early = leads.select("id", F.explode(F.slice("bases", 1, 3)).alias("base"))
-    heads = step.keep(early.groupBy("base").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1"), "heads")
-    pairs = early.join(heads, "base").where("id > head").groupBy(F.col("id").alias("u"), F.col("head").alias("v")).agg(F.max("n").alias("n"))
-    found = [_verified(docs, _stars(step.keep(pairs, "pairs"), block), words, least, "early", step)]
-    units = step.keep(_classed(leads.withColumn("class", F.col("id")), found), "units")
-
-    share = np.arccos(2 * least / (1 + least)) / np.pi  # of the bits, expected to differ at the least similarity
-    apart = int(128 * share + spread * (128 * share * (1 - share)) ** 0.5)
-    bits_alike = lambda x, y: F.bit_count(x["a"].bitwiseXOR(y["a"])) + F.bit_count(x["b"].bitwiseXOR(y["b"])) <= apart
-    alike = lambda x, y: F.when(x["b"].isNull() | y["b"].isNull(), x["b"].isNotNull() | y["b"].isNotNull()).otherwise(bits_alike(x, y))
-    # texts whose shingles are at hand meet each other below, all of them; here only those whose size allows a mate of more
-    wide = (F.size("checks") > 0) | (F.size("shingles") >= least * (int(short / least) + 1) - 1e-9)
-    mark = F.struct(F.get("checks", F.lit(0)).alias("a"), F.get("checks", F.lit(1)).alias("b")).alias("mark")
-    base = F.col("base")
-    ball = F.array(base, *[base.bitwiseXOR(F.lit(1 << b).cast("long")) for b in range(bits)])
-    for at in [0, *range(1, tables, batch)]:
-        rows = units.where(wide).select("id", "class", mark, F.explode(F.slice("bases", at + 1, batch if at else 1)).alias("base"))
-        # of one class under one fingerprint, one goes on: another in another table
-        chosen = F.min_by(F.struct("id", "mark"), F.xxhash64("id", "base")).alias("s")
-        rows = rows.groupBy("base", "class").agg(chosen).select(F.posexplode(ball).alias("at", "value"), "s.id", "class", "s.mark")
-        rows = rows.select("value", "id", "class", F.struct("mark.a", "mark.b", (F.col("at") - 1).cast("byte").alias("bit")).alias("mark"))
-        found = [_verified(docs, _met(rows, lambda x, y: _once(x["bit"], y["bit"], F.col("value")) & alike(x, y), block, f"table{at}", step), words, least, f"table{at}", step)]
-        units = step.keep(_classed(units, found), f"units{at}")
-        step.drop(f"table{at}-met")
-    sized = lambda x, y: F.least(x, y) >= F.greatest(x, y) * least - 1e-9
-    found = [_verified(docs, _met(_prefixes(units, least, step), sized, block, "short", step), words, least, "short", step)]
-    step.drop("short-met", "common", "units", "heads", "pairs")
-
-    classes = _classed(units.select("id", "class"), found).select(F.col("id").alias("first"), F.col("class").alias("class_id"))
-    classes = firsts.join(classes, "first").select("folded", "class_id")
+    copies = step.keep(made.select("id", "folded").join(firsts, "folded").where("id > first").select("id"), "copies")
+    # the lists of signatures stay where they are, save of those that may be copies
+    parted = _maybe(made.select("id", "bases", "mark", "signatures"), copies)
+    leads = parted.where(~F.col("_maybe")).unionByName(parted.where("_maybe").join(copies, "id", "left_anti")).drop("_maybe")
+    shared = leads.select("id", F.explode("signatures").alias("value")).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("value")))
+    shared = step.keep(shared.where("n > 1").select("value", "id"), "shared")
+    leads = step.keep(leads.select("id", "bases", "mark"), "leads")
+
+    early = leads.select("id", F.explode("bases").alias("base"))
+    heads = early.groupBy("base").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").select("base", "head")
+    pairs = early.join(heads, "base").where("id > head").select(F.col("id").alias("u"), F.col("head").alias("v")).distinct()
+    found = [_verified(docs, _stars(_counted(step.keep(pairs, "pairs")), block), words, least, "early", step)]
+    units = step.keep(_classed(leads.select("id", F.col("id").alias("class")), found), "units")
+
+    def several(units: DataFrame) -> DataFrame:
+        """value, id, class and the smallest row's head: what is left of the shared values that rows of several classes have."""
+        value = Window.partitionBy("value")
+        rows = shared.join(units.select("id", "class"), "id").withColumn("head", F.min(F.struct("id", "class")).over(value))
+        return rows.withColumn("low", F.min("class").over(value)).withColumn("high", F.max("class").over(value)).where("low < high").select("value", "id", "class", "head")
+
+    pairs = several(units).where("class <> head.class").select(F.col("id").alias("u"), F.col("head.id").alias("v")).distinct()
+    found = [_verified(docs, _stars(_counted(step.keep(pairs, "starred")), block), words, least, "star", step)]
+    units = step.keep(_classed(units, found), "joined")
+
+    gap = (1 - least) / (1 + least)
+
+    def near(x: Column, y: Column) -> Column:
+        sized = F.least(x["n"], y["n"]) >= F.greatest(x["n"], y["n"]) * least - 1e-6
+        differ = reduce(Column.__add__, [F.bit_count(x[f"b{i}"].bitwiseXOR(y[f"b{i}"])) for i in range(_PARITY)])
+        return sized & (differ <= (x["n"] + y["n"]) * gap + 1e-6)
+
+    mark = F.struct(F.get("mark", F.lit(0)).alias("n"), *[F.get("mark", F.lit(i + 1)).alias(f"b{i}") for i in range(_PARITY)]).alias("mark")
+    rows = several(units).drop("head").join(leads.select("id", mark), "id").select("value", "id", "class", "mark")
+    # a pair meets under many values: it is compared once
+    mates = _met(rows, near, block, "rest", step).where(F.size("mates") > 0).groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("mates"))).alias("mates"))
+    pairs = step.keep(mates.select(F.col("id").alias("u"), F.explode("mates").alias("v")), "rest")
+    found = [_verified(docs, _stars(_counted(pairs), block), words, least, "rest", step)]
+    classes = _classed(units, found).select(F.col("id").alias("first"), F.col("class").alias("class_id"))
+    classes = step.keep(firsts.join(classes, "first").select("folded", "class_id"), "classes")
+    step.drop("rest-met", "rest", "starred", "pairs", "shared", "copies", "leads", "units", "joined")
     return made.select("id", "folded").join(classes, "folded").select("id", "class_id")
 
 

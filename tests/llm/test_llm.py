@@ -188,6 +188,46 @@ def test_recall_of_similar_classes(spark):
     assert all(want[i] == want[c] for i, c in got.items())  # nothing dissimilar is joined
 
 
+def test_similar_classes_miss_no_pair(spark):
+    """Pairs of long texts just above 0.8, and texts that of a large class of near copies resemble one member alone."""
+    rng, rows = random.Random(8), []
+    word = lambda: f"z{rng.randrange(10**6)}"
+
+    def changed(w, at):
+        return [word() if j in at else x for j, x in enumerate(w)]
+
+    for _ in range(240):  # five shingles fewer a change
+        n = rng.randrange(7, 13)
+        base = [word() for _ in range(n * 45 + 4)]
+        rows += [base, changed(base, {45 * j + 22 for j in range(n)})]
+    head = [word() for _ in range(304)]
+    for j in range(40):
+        member = changed(head, {150, 4 + 7 * j})
+        rows += [member, changed(member, {11, 61, 111, 191, 241, 291} - {4 + 7 * j})]
+    rows = [(i, " ".join(w)) for i, w in enumerate(rows)]
+    rng.shuffle(rows)
+    want, pairs = brute_classes(rows)
+    got = {r["id"]: r["class_id"] for r in simhash.similar_classes(spark.createDataFrame(rows, "id long, text string"), block=16).collect()}
+    assert len(pairs) >= 240 and got == want
+
+
+def test_signatures_are_shared_by_similar_sets():
+    """Random pairs at and above the least similarity, of all sizes; the parity bitmap refuses none of them."""
+    rng = np.random.default_rng(2)
+    tops = simhash._sizes(0.8, 4000)
+    for n in [*range(1, 60), *rng.integers(60, 1500, 200).tolist()]:
+        for _ in range(4):
+            most = int(n / 0.8 + 1e-9)
+            size = int(rng.integers(n, most + 1))
+            both = -(-4 * (n + size) // 9)  # the least overlap of a similarity of 0.8
+            words = np.unique(rng.integers(0, 2**64, n + size - both + 9, np.uint64))
+            rng.shuffle(words)
+            a, b = np.sort(words[:n]), np.sort(words[n - both : n + size - both])
+            assert len(np.intersect1d(simhash.signatures(a, 0.8, tops), simhash.signatures(b, 0.8, tops))), (n, size)
+            differ = (simhash._mark(a)[1:] ^ simhash._mark(b)[1:]).view(np.uint64)
+            assert int(np.bitwise_count(differ).sum()) <= len(np.setxor1d(a, b))
+
+
 def test_a_crowd_is_compared_by_a_row_per_member(spark):
     """60 texts under one value, 1,770 pairs: every pair is listed once, in a row per member and group, and few links join them."""
     step, n = simhash.Scratch(spark), 60
