@@ -1,8 +1,8 @@
 """Byte-level BPE encoding in executors with a bounded cache of pieces.
 
 The pre-tokeniser always starts a new piece at a space that stands before a non-space, so a text cut there and encoded
-piece by piece gives the ids of the whole text. Most pieces recur, and a worker keeps the ids of those it has met. A new
-piece is split by the tokenizer's own pattern and goes straight to the tokenizer's model.
+piece by piece gives the ids of the whole text. Most pieces recur, and a worker keeps the ids of those it has met lately. A
+new piece is split by the tokenizer's own pattern, and what the pattern finds and is not known goes straight to the model.
 """
 
 from __future__ import annotations
@@ -33,7 +33,10 @@ def _byte_letters() -> dict[int, str]:
 
 
 class PieceEncoder(dict):
-    """Maps a piece (its leading space left out) to its ids as unsigned 32-bit integers in the machine's order (little-endian)."""
+    """Maps a piece (its leading space left out) to its ids as unsigned 32-bit integers in the machine's order (little-endian).
+
+    Once ``most`` pieces are held they become the older ones, and those they follow are forgotten, save what is met again.
+    """
 
     made: dict[tuple[str, int], PieceEncoder] = {}
 
@@ -44,13 +47,14 @@ class PieceEncoder(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.tokenizer, self.most, self.older, self.bare = Tokenizer.from_file(path), most, {}, {}
         self.model, self.letters = self.tokenizer.model, _byte_letters()
         self.pattern = regex.compile(public_tokenizers.PATTERN)
+        self.letter_run = regex.compile(r"\p{L}+")
         self.ends = {c: self.direct(c) for c in ".,;:!?"}  # after a word, a pre-token of its own
 
     @classmethod
-    def get_one(cls, path: str, most: int = 1_000_000) -> PieceEncoder:
+    def get_one(cls, path: str, most: int = 500_000) -> PieceEncoder:
         """One per worker process, kept between tasks."""
         if (path, most) not in cls.made:
             cls.made[path, most] = cls(path, most)
@@ -62,17 +66,34 @@ class PieceEncoder(dict):
 
     def direct(self, text: str) -> bytes:
         """Ids by the tokenizer's pattern; special tokens' names are ordinary text."""
-        return b"".join([self.word(part.encode().decode("latin-1").translate(self.letters)) for part in self.pattern.findall(text)])
+        out, bare = [], self.bare
+        for part in self.pattern.findall(text):
+            found = bare.get(part)
+            if found is None:
+                found = self.word(part.encode().decode("latin-1").translate(self.letters))
+                if len(part) <= 64:
+                    if len(bare) >= self.most // 4:
+                        bare.clear()
+                    bare[part] = found
+            out.append(found)
+        return b"".join(out)
 
     def __missing__(self, piece: str) -> bytes:
-        if piece.isalpha():
+        found = self.older.get(piece)
+        if found is not None:
+            pass
+        elif piece.isalpha():
             found = self.word(SPACE_LETTER + (piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)))
         elif piece[-1] in self.ends and piece[:-1].isalpha():
-            return self[piece[:-1]] + self.ends[piece[-1]]
+            found = self[piece[:-1]] + self.ends[piece[-1]]
+        elif (run := self.letter_run.match(piece)) and run.end() < len(piece):
+            # the pattern takes a space and all letters after it first, and looks back at nothing
+            found = self[run[0]] + self.direct(piece[run.end() :])
         else:
             found = self.direct(" " + piece)
         if len(piece) <= 64:
             if len(self) >= self.most:
+                self.older = dict(self)
                 self.clear()
             self[piece] = found
         return found

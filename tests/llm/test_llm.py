@@ -257,6 +257,19 @@ def test_tokens_equal_the_tokenizer():
         assert own.encode(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
 
 
+def test_pieces_met_lately_are_kept_and_their_number_is_bounded():
+    """A piece met every 30 others is encoded once, however many others come by; at most twice ``most`` are held."""
+    own, made = tokens.PieceEncoder(tokens.tokenizer_path(), 50), []
+    word = own.word
+    own.word = lambda w: made.append(w) or word(w)
+    for i in range(3000):
+        own.encode(f" q{'abcdefghij'[i % 10]}{'abcdefghij'[i // 10 % 10]}{'abcdefghij'[i // 100 % 10]}{'abc'[i // 1000]}")
+        if i % 30 == 0:
+            own.encode(" recurring recurring.\nRecurring!!")
+        assert len(own) + len(own.older) <= 100
+    assert made.count(tokens.SPACE_LETTER + "recurring") == 1
+
+
 def expected_ids(rows):
     own = tokens.PieceEncoder.get_one(tokens.tokenizer_path())
     return {i: own.encode(t) + b"\0\0\0\0" for i, t in rows}
