@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from citeloom.llm.textops import small_batches
 from citeloom.llm.tokens import END_ID, PieceEncoder, tokenizer_path
 
+#: Half of the pieces a worker may hold; packing shares its executor with what earlier stages have left in memory.
+PIECES = 200_000
 SCHEMA = "doc_id long, start long, length long, ids array<int>, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -52,7 +54,7 @@ def _pack(path: str, limit: int, group: int) -> Callable:
     end = np.array([END_ID], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, at = PieceEncoder.get_one(path), TaskContext.get().partitionId() << 36
+        coder, at = PieceEncoder.get_one(path, PIECES), TaskContext.get().partitionId() << 36
         held: list[tuple[int | None, bytes]] = []
         size = 0
 
