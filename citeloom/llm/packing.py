@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.llm.textops import small_batches
+from citeloom.llm.textops import release, small_batches
 from citeloom.llm.tokens import END_ID, PieceEncoder, tokenizer_path
 
 #: Half of the pieces a worker may hold; packing shares its executor with what earlier stages have left in memory.
@@ -82,6 +82,7 @@ def _pack(path: str, limit: int, group: int) -> Callable:
                     yield flush()
         if held:
             yield flush()
+        release()
 
     return run
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeloom.llm.components import connected
-from citeloom.llm.textops import Scratch, materialise, mix, small_batches
+from citeloom.llm.textops import Scratch, lean, materialise, mix, small_batches
 
 RADIUS = 2
 
@@ -289,9 +289,9 @@ def _verified(docs: DataFrame, groups: DataFrame, words: int, least: float, name
     many mates are compared with it; the pairs are compared where a key's rows are and never become rows themselves.
     """
     groups = step.keep(groups, f"{name}-groups")
-    sets = _holding(docs, groups.select("id")).mapInArrow(_sets(words), "id long, shingles binary")
+    sets = _holding(docs, groups.select("id")).mapInArrow(lean(_sets(words)), "id long, shingles binary")
     full = groups.join(sets, "id").select("key", "id", "mates", "shingles").repartition("key").sortWithinPartitions("key")
-    links = step.keep(full.mapInArrow(_agree(least), "u long, v long"), f"{name}-links")
+    links = step.keep(full.mapInArrow(lean(_agree(least)), "u long, v long"), f"{name}-links")
     step.drop(f"{name}-groups")
     return links
 
@@ -370,7 +370,7 @@ def similar_classes(docs: DataFrame, words: int = 5, least: float = 0.8, tables:
     """
     step = Scratch(docs.sparkSession)
     docs = docs.select("id", "text")
-    made = step.keep(docs.mapInArrow(_sketches(words, least, tables, bits), _MADE), "sketches")
+    made = step.keep(docs.mapInArrow(lean(_sketches(words, least, tables, bits)), _MADE), "sketches")
     firsts = step.keep(made.groupBy("folded").agg(F.min("id").alias("first")), "firsts")
     copies = step.keep(made.select("id", "folded").join(firsts, "folded").where("id > first").select("id"), "copies")
     # the lists of signatures stay where they are, save of those that may be copies

@@ -5,7 +5,9 @@ Words are hashed straight from the UTF-8 buffer of an Arrow column, so no Python
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,47 @@ _MASKS = np.array([(1 << (8 * n)) - 1 for n in range(8)] + [(1 << 64) - 1], dtyp
 _P = U(0x9E3779B97F4A7C15 | 1)
 
 
+#: What this worker process keeps from one task to the next.
+KEPT: dict[object, object] = {}
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession, limit: int = 4 << 20) -> None:
+    """From now on this session's Arrow batches end at ``limit`` bytes (or one row, if that is longer), not at 10,000 rows.
+
+    An executor holds a batch several times, in the JVM and in the worker, for each of its cores. A lower setting stays.
+    """
+    now = spark.conf.get(_BATCH)
+    if not re.fullmatch(r"\d+b?", now) or int(now.removesuffix("b")) > limit:
+        spark.conf.set(_BATCH, str(limit))
+
+
+def release() -> None:
+    """Give freed memory back to the system, which Arrow's pool and the C library would hold for this worker's next task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc alone
+    if trim:
+        trim(0)
+
+
+def _drop_kept() -> None:
+    if KEPT:
+        KEPT.clear()
+        release()
+
+
+def lean(run: Callable) -> Callable:
+    """``run`` (batches to batches) as a task that leaves the executor its memory: what tasks of other operators keep in
+    the worker is dropped before it, and what it has freed itself is released after it."""
+
+    def lean_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _drop_kept()
+        yield from run(batches)
+        release()
+
+    return lean_run
+
+
 class Scratch:
     """Tables in the shared folder that cut lineage. ``drop`` removes those that no later step reads."""
 

@@ -11,6 +11,8 @@ import os
 import re
 from array import array
 
+from citeloom.llm.textops import KEPT
+
 END_ID = 0
 #: How byte-level BPE writes a leading space.
 SPACE_LETTER = chr(256 + 0x20)
@@ -38,8 +40,6 @@ class PieceEncoder(dict):
     Once ``most`` pieces are held they become the older ones, and those they follow are forgotten, save what is met again.
     """
 
-    made: dict[tuple[str, int], PieceEncoder] = {}
-
     def __init__(self, path: str, most: int):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import public_tokenizers
@@ -55,10 +55,12 @@ class PieceEncoder(dict):
 
     @classmethod
     def get_one(cls, path: str, most: int = 500_000) -> PieceEncoder:
-        """One per worker process, kept between tasks."""
-        if (path, most) not in cls.made:
-            cls.made[path, most] = cls(path, most)
-        return cls.made[path, most]
+        """One per worker process, kept between tasks, until one of another kind wants its memory."""
+        key = cls, path, most
+        if key not in KEPT:
+            KEPT.clear()
+            KEPT[key] = cls(path, most)
+        return KEPT[key]
 
     def word(self, word: str) -> bytes:
         """Ids of one pre-token, its bytes written as letters."""

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from citeloom.llm.learn import Adam, bucket, labelled_sample, sigmoid
-from citeloom.llm.textops import small_batches, unused
+from citeloom.llm.textops import lean, small_batches, unused
 
 BUCKETS, HELD = 5, 0
 PREFIXES = (4, 5, 6, 7)
@@ -139,7 +139,7 @@ def scored(docs: DataFrame, model: FactorizationMachine, name: str = "_score") -
 
     ``docs`` must have no column of that name; ``clean`` takes any columns.
     """
-    return docs.mapInArrow(_scores(docs.sparkSession.sparkContext.broadcast(model), name), StructType([*docs.schema, StructField(name, DoubleType())]))
+    return docs.mapInArrow(lean(_scores(docs.sparkSession.sparkContext.broadcast(model), name)), StructType([*docs.schema, StructField(name, DoubleType())]))
 
 
 def clean(docs: DataFrame, model: FactorizationMachine, cut: float = 0.5) -> DataFrame:

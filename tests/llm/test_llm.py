@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from citeloom.llm import decontaminate, langid, packing, privacy, quality, simhash, substring_dedup, token_files, tokens, topk, toxicity
+from citeloom.llm import decontaminate, langid, packing, privacy, quality, simhash, substring_dedup, textops, token_files, tokens, topk, toxicity
 from citeloom.llm.components import connected
 
 SCHEMA = "doc_id long, text string, lang string, source string, k string, fp string, h string, words string, class_id string"
@@ -596,3 +596,34 @@ def test_needed_cells_carry_no_vectors():
     frame = pd.DataFrame({"query_id": np.arange(n), "v": [np.array([1, 0])] * n, "cell": 0, "least": np.nan})
     out = list(topk._needed(np.array([[0.0, 1.0], [1.0, 0.0], [2.0, 2.0]]), np.array([1.0, 1.0, -1.0]), 2)(iter([frame])))
     assert [len(x) for x in out] == [1024, 1024, 452] and all(list(x.columns) == ["query_id", "cell"] and (x["cell"] == 1).all() for x in out)
+
+
+def test_worker_memory(spark):
+    """Tasks of other operators drop what packing keeps in its worker; the pipeline's stages send no batch of 10,000 long rows."""
+    import pyarrow as pa
+
+    import corpus_pipeline
+
+    batch = pa.RecordBatch.from_pydict({"id": [1], "text": ["a b c d e f"]})
+    for run in (simhash._sketches(5, 0.8, 3, 28), simhash._sets(5)):
+        tokens.PieceEncoder.get_one(tokens.tokenizer_path(), 50)
+        assert sum(b.num_rows for b in textops.lean(run)(iter([batch]))) == 1 and not textops.KEPT
+    one = tokens.PieceEncoder.get_one(tokens.tokenizer_path(), 50)
+    assert one is tokens.PieceEncoder.get_one(tokens.tokenizer_path(), 50)
+    tokens.PieceEncoder.get_one(tokens.tokenizer_path(), 60)
+    assert len(textops.KEPT) == 1
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"mb": [b.nbytes / 1e6]})
+
+    long = spark.range(3000).repartition(1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 2000).alias("text"))
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    for stage in (corpus_pipeline.near_duplicates, corpus_pipeline.packed):
+        spark.conf.unset(name)
+        stage(spark, docs(spark, (1, "a b")), None)
+        assert max(r[0] for r in long.mapInArrow(sizes, "mb double").collect()) < 6
+    spark.conf.set(name, "1000")
+    textops.bounded_batches(spark)
+    assert spark.conf.get(name).removesuffix("b") == "1000"
+    spark.conf.unset(name)
