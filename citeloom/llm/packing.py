@@ -75,9 +75,10 @@ def _pack(path: str, limit: int, group: int) -> Callable:
             return out
 
         for b in small_batches(batches):
-            for i, t in zip(b.column(b.schema.get_field_index("doc_id")).to_pylist(), b.column(b.schema.get_field_index("text")).to_pylist()):
-                held.append((i, coder.encode(t) + end))
-                size += len(held[-1][1]) // 4
+            ids, off = coder.encode_column(b.column(b.schema.get_field_index("text")), end)
+            for i, s, to in zip(b.column(b.schema.get_field_index("doc_id")).to_pylist(), off[:-1].tolist(), off[1:].tolist()):
+                held.append((i, ids[s:to].tobytes()))
+                size += to - s
                 if size >= group:
                     yield flush()
         if held:

@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -270,6 +271,49 @@ def test_pieces_met_lately_are_kept_and_their_number_is_bounded():
     assert made.count(tokens.SPACE_LETTER + "recurring") == 1
 
 
+def test_columns_are_encoded_as_the_tokenizer_encodes_their_texts():
+    """Cuts between letters, digits, signs and white space of every kind change no id; nulls, empty texts and slices keep their place."""
+    from tokenizers import Tokenizer
+
+    own, whole = tokens.PieceEncoder(tokens.tokenizer_path(), 300), Tokenizer.from_file(tokens.tokenizer_path())
+    whole.encode_special_tokens = True
+    rng = random.Random(11)
+    bits = ["a", "B", "é", "Éß", "ÿ", "×", "÷", "ªµ", "Ж", "٠", "'", "''", "'s", "'T", "'re", "1", "12", "!", "$$", "_", "—", "“", "日", "😀", "\u0301", "\u200b", "\ufeff"]
+    bits += [" ", "  ", "\n", "\r\n", "\t", "\x0b", "\x00", "\x1c", "\x1f", "\x7f", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u202f", "\u205f", "\u3000", " word,", "<|endoftext|>"]
+    for size in (0, 1, 7, 3000):
+        texts = [rng.choice([None, ""]) if rng.random() < 0.1 else "".join(rng.choice(bits) for _ in range(rng.randint(1, 12))) for _ in range(size)]
+        ids, off = own.encode_column(pa.array(["left out, é", None, *texts], pa.string()).slice(2), np.array([7, 0], "<u4").tobytes())
+        for i, t in enumerate(texts):
+            assert ids[off[i] : off[i + 1]].tolist() == [*whole.encode(t or "", add_special_tokens=False).ids, 7, 0], repr(t)
+        assert len(off) == size + 1 and off[-1] == len(ids)
+    assert own.encode(None) == own.encode("") == b""
+
+
+class CountedEncoder(tokens.PieceEncoder):
+    asked = 0
+
+    def __getitem__(self, piece):
+        self.asked += 1
+        return super().__getitem__(piece)
+
+
+def asked_by(monkeypatch, module, run):
+    """Lookups of pieces for 200 texts of 800 words, in one task."""
+    from types import SimpleNamespace
+
+    own = CountedEncoder(tokens.tokenizer_path(), 1000)
+    monkeypatch.setattr(tokens.PieceEncoder, "get_one", lambda *_: own)
+    monkeypatch.setattr(module, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    text = " ".join(["some words, recurring: again."] * 200)
+    out = list(run(iter([pa.RecordBatch.from_arrays([pa.array(range(200)), pa.array([text] * 200)], ["doc_id", "text"])])))
+    assert sum(len(b.column("ids").flatten()) for b in out) == 200 * (len(own.encode(text)) // 4 + 1)
+    return own.asked
+
+
+def test_packing_looks_up_the_distinct_pieces_of_a_batch(monkeypatch):
+    assert asked_by(monkeypatch, packing, packing._pack(tokens.tokenizer_path(), 1024, 1 << 20)) < 100
+
+
 def expected_ids(rows):
     own = tokens.PieceEncoder.get_one(tokens.tokenizer_path())
     return {i: own.encode(t) + b"\0\0\0\0" for i, t in rows}
