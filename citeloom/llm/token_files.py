@@ -29,10 +29,9 @@ def _encode(path: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part, at = PieceEncoder.get_one(path), TaskContext.get().partitionId(), 0
         for b in small_batches(batches):
-            coded = [coder.encode(t) + end for t in b.column(b.schema.get_field_index("text")).to_pylist()]
-            n = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
-            off = np.r_[0, np.cumsum(n)]
-            ids = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(np.frombuffer(b"".join(coded), "<i4")))
+            ids, off = coder.encode_column(b.column(b.schema.get_field_index("text")), end)
+            n = np.diff(off)
+            ids = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(ids))
             yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index("doc_id")), ids, pa.array(n), pa.array(np.full(len(n), part, np.int64)), pa.array(at + off[:-1])], ["doc_id", "ids", "n_tokens", "part", "start_in_part"])
             at += int(off[-1])
 

@@ -314,6 +314,10 @@ def test_packing_looks_up_the_distinct_pieces_of_a_batch(monkeypatch):
     assert asked_by(monkeypatch, packing, packing._pack(tokens.tokenizer_path(), 1024, 1 << 20)) < 100
 
 
+def test_token_files_look_up_the_distinct_pieces_of_a_batch(monkeypatch):
+    assert asked_by(monkeypatch, token_files, token_files._encode(tokens.tokenizer_path())) < 100
+
+
 def expected_ids(rows):
     own = tokens.PieceEncoder.get_one(tokens.tokenizer_path())
     return {i: own.encode(t) + b"\0\0\0\0" for i, t in rows}
